@@ -8,8 +8,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from litloom.operators import nested
-from litloom.runtime import table
+from litloom.operators import drift, nested
+from litloom.runtime import materialize, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -20,6 +20,28 @@ def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession
     return f
 
 
+# 4. Schemas that drift between files
+
+
+@query
+def p4_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Each change of a feed's schema, with the file where it takes effect."""
+    return drift.changes(table(spark, folder, "feed_records"))
+
+
+@query
+def p4_canonical_names(spark: SparkSession, folder: str) -> DataFrame:
+    """The column of the one table that each file's field goes to."""
+    return drift.canonical_names(table(spark, folder, "feed_records"))
+
+
+@query
+def p4_table(spark: SparkSession, folder: str) -> DataFrame:
+    """All records of all files in one consistent table."""
+    records = table(spark, folder, "feed_records")
+    return drift.consistent_table(records, "rec_no", materialize(drift.canonical_names(records), "names"))
+
+
 # 7. Deeply nested records
 
 
