@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from litloom.llm import seen, split, terms
-from litloom.runtime import WHITESPACE, table
+from litloom.llm import leakage, neardup, seen, split, terms
+from litloom.runtime import WHITESPACE, materialize, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -148,3 +148,75 @@ k as (
   union all select 'dailymed', null, {_bare("line", _DM)} from n where space = ''),
 f as (select *, min(coalesce(number, -1)) over (partition by feed, key) as first from k where key is not null)
 select feed, number as record_no from f where number is not null and first < number"""
+
+
+# 1. Near-duplicate records
+
+LABEL_SIMILARITY = 0.65
+
+
+def _label_sets(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    labels = table(spark, folder, "dailymed_labels")
+    texts = F.coalesce(F.transform("sections", lambda s: s["text"]), F.array().cast("array<string>"))
+    told = labels.filter(F.exists(texts, lambda t: t.isNotNull() & t.rlike(r"\S")))
+    return neardup.classes(materialize(neardup.shingled(told, "record_no", F.concat(F.array("drug_name", "manufacturer"), texts), 3), "shingles"))
+
+
+@query
+def p1_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Each pair of labels whose similarity is at least 0.65."""
+    sets, member = _label_sets(spark, folder)
+    pairs = neardup.similar_pairs(sets, LABEL_SIMILARITY)
+    return neardup.expanded(pairs, member).select(F.col("a").alias("record_no_a"), F.col("b").alias("record_no_b"))
+
+
+@query
+def p1_groups(spark: SparkSession, folder: str) -> DataFrame:
+    """Each label with section text: its group, its class of equal labels, and how many other classes it is linked with."""
+    sets, member = _label_sets(spark, folder)
+    pairs = materialize(neardup.similar_pairs(sets, LABEL_SIMILARITY), "pairs")
+    linked = neardup.components(pairs).withColumnRenamed("id", "rep")
+    links = pairs.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count("*").alias("links"))
+    out = member.join(linked, "rep", "left").join(links, "rep", "left")
+    return out.select(F.col("id").alias("record_no"), F.coalesce("component", "rep").alias("group_id"), F.col("rep").alias("class_id"), F.coalesce("links", F.lit(0)).alias("links"))
+
+
+# 8. Evaluation texts in training text
+
+
+def _leaks(spark: SparkSession, folder: str) -> DataFrame:
+    index = leakage.build_index(table(spark, folder, "documents"), "doc_id", "text")
+    return leakage.phrase_matches(index, leakage.items_of(table(spark, folder, "eval_items"), "item_id", "text"))
+
+
+@query
+def p8_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Each document and item with 13 consecutive words in common."""
+    return _leaks(spark, folder).select("doc_id", "item_id").distinct()
+
+
+@query
+def p8_passages(spark: SparkSession, folder: str) -> DataFrame:
+    """The common passages: where they begin and how many words they have."""
+    return _leaks(spark, folder)
+
+
+@query
+def p8_leaked_items(spark: SparkSession, folder: str) -> DataFrame:
+    """The items that leaked: in how many documents, and the most words found in one piece."""
+    return _leaks(spark, folder).groupBy("item_id").agg(F.count_distinct("doc_id").alias("documents"), F.max("words").alias("longest"))
+
+
+@query
+def p8_proximity(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents that have the rarest terms of an item close together, in any order."""
+    index = leakage.build_index(table(spark, folder, "documents"), "doc_id", "text")
+    return leakage.proximity(index, leakage.items_of(table(spark, folder, "eval_items"), "item_id", "text"))
+
+
+SQL["p8_found"] = """
+with g as (select doc_id, regexp_extract_all(lower(text), '[a-z0-9]+') as w from documents),
+i as (select item_id, regexp_extract_all(lower(text), '[a-z0-9]+') as w from eval_items),
+a as (select doc_id, unnest(list_transform(range(1, len(w) - 11), lambda k: array_to_string(w[k:k + 12], ' '))) as s from g where len(w) > 12),
+b as (select item_id, unnest(list_transform(range(1, len(w) - 11), lambda k: array_to_string(w[k:k + 12], ' '))) as s from i where len(w) > 12)
+select distinct doc_id, item_id from a join b using (s)"""
