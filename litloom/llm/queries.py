@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from litloom.llm import leakage, neardup, seen, split, terms
+from litloom.llm import leakage, neardup, residue, seen, split, terms, truncation
 from litloom.runtime import WHITESPACE, materialize, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -220,3 +220,45 @@ i as (select item_id, regexp_extract_all(lower(text), '[a-z0-9]+') as w from eva
 a as (select doc_id, unnest(list_transform(range(1, len(w) - 11), lambda k: array_to_string(w[k:k + 12], ' '))) as s from g where len(w) > 12),
 b as (select item_id, unnest(list_transform(range(1, len(w) - 11), lambda k: array_to_string(w[k:k + 12], ' '))) as s from i where len(w) > 12)
 select distinct doc_id, item_id from a join b using (s)"""
+
+
+# 3. Text cut off by field limits
+
+
+def _cut_scores(spark: SparkSession, folder: str) -> DataFrame:
+    return truncation.scored(table(spark, folder, "label_texts"), "text_no", "source", "text")
+
+
+@query
+def p3_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Each row whose text lost its end."""
+    return _cut_scores(spark, folder).filter("score > 0.5").select(F.col("id").alias("text_no"))
+
+
+@query
+def p3_rates(spark: SparkSession, folder: str) -> DataFrame:
+    """How often each source truncates."""
+    scored = _cut_scores(spark, folder)
+    return scored.groupBy("source").agg(F.count("*").alias("texts"), F.sum((F.col("score") > 0.5).cast("long")).alias("truncated"), F.avg((F.col("score") > 0.5).cast("double")).alias("share"))
+
+
+# 10. Template residue and error-page text
+
+
+@query
+def p10_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Each document that holds residue anywhere."""
+    return residue.residue(table(spark, folder, "documents"), "doc_id", "text").select(F.col("id").alias("doc_id")).distinct()
+
+
+@query
+def p10_residue(spark: SparkSession, folder: str) -> DataFrame:
+    """Where the residue lies, of which kind it is, and its likelihood ratio."""
+    return residue.residue(table(spark, folder, "documents"), "doc_id", "text").withColumnRenamed("id", "doc_id")
+
+
+@query
+def p10_corpus(spark: SparkSession, folder: str) -> DataFrame:
+    """The documents without residue."""
+    documents = table(spark, folder, "documents")
+    return residue.excluded(documents, "doc_id", residue.residue(documents, "doc_id", "text")).select("doc_id", "source", "n_chars")
