@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from litloom.llm import leakage, neardup, residue, seen, split, terms, truncation
+from litloom.llm import leakage, mixing, neardup, residue, seen, split, terms, truncation
 from litloom.runtime import WHITESPACE, materialize, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -262,3 +262,19 @@ def p10_corpus(spark: SparkSession, folder: str) -> DataFrame:
     """The documents without residue."""
     documents = table(spark, folder, "documents")
     return residue.excluded(documents, "doc_id", residue.residue(documents, "doc_id", "text")).select("doc_id", "source", "n_chars")
+
+
+# 9. Mixing sources to target weights
+
+
+@query
+def p9_mixture(spark: SparkSession, folder: str) -> DataFrame:
+    """The mixture: how often each chosen document is used for its source."""
+    return mixing.mixture(table(spark, folder, "documents"), table(spark, folder, "mix_targets"), "doc_id", "text", "source")
+
+
+@query
+def p9_shares(spark: SparkSession, folder: str) -> DataFrame:
+    """The shares reached."""
+    targets = table(spark, folder, "mix_targets")
+    return mixing.shares(materialize(mixing.mixture(table(spark, folder, "documents"), targets, "doc_id", "text", "source"), "mixture"), targets)
