@@ -125,4 +125,4 @@ def retry_wait(kind: Column, attempt: Column, retry_after: Column) -> Column:
     """Seconds to wait before jitter: what the service asks for, else a growing pause."""
     grow = F.pow(F.lit(2.0), attempt - 1)
     own = F.when(kind == "rate_limit", F.least(2 * grow, F.lit(30.0))).when(kind == "transient", F.least(grow, F.lit(8.0)))
-    return F.when(kind != "fatal", F.coalesce(F.greatest(retry_after.try_cast("double"), F.lit(0.0)), own))
+    return F.when(kind != "fatal", F.coalesce(F.when(retry_after.try_cast("double") < 0, F.lit(0.0)).otherwise(retry_after.try_cast("double")), own))
