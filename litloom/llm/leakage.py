@@ -69,7 +69,7 @@ def _plan(items: list[tuple[int, list[str]]], frequency: dict[str, int], width:
         f = [frequency.get(w, 0) for w in ws]
         for s in range(len(ws) - width + 1):
             if min(f[s : s + width]) > 0:  # else no document can have the window
-                one, two = sorted(sorted(range(s, s + width), key=lambda i: (f[i], i))[:2]) if width > 1 else (s, s)
+                one, two = sorted(sorted(range(s, s + width), key=lambda i: (f[i], i))[:2])
                 own[one, two] = True
                 anchors[ws[one]].add((k, one))
                 anchors[ws[two]].add((k, two))
@@ -142,6 +142,8 @@ def phrase_matches(index: DataFrame, items: list[tuple[int, list[str]]], width:
 
     Items shorter than `width` words have no window and match nothing; repeated documents and items are all reported.
     """
+    if width < 2:
+        raise ValueError("a passage has at least two words")
     spark = index.sparkSession
     vocabulary = spark.createDataFrame([(t,) for t in sorted({w for _, ws in items for w in ws})], "term string")
     # the vocabulary of a fixed set of items; the lists themselves are never broadcast

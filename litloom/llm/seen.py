@@ -197,9 +197,9 @@ def _sealed(keyed: DataFrame, bits: int, feeds: list[str], generations: int, aud
     spark = keyed.sparkSession
     n = partitions(spark)
     own = keyed.groupBy("feed", "generation", "khash").agg(F.min("number").alias("first_no"), F.count("*").alias("rows")).withColumn("absent", F.lit(False))
-    audit = audit_keys > 0 and bool(feeds)
+    audit = audit_keys > 0
     if audit:  # no key contains U+0001
-        drawn = keyed.sparkSession.range(audit_keys).select(F.concat(F.lit("\x01absent:"), F.col("id").cast("string")).alias("key"), F.explode(F.array(*map(F.lit, feeds))).alias("feed"))
+        drawn = keyed.sparkSession.range(audit_keys if feeds else 0).select(F.concat(F.lit("\x01absent:"), F.col("id").cast("string")).alias("key"), F.explode(F.array(*map(F.lit, feeds or [""]))).alias("feed"))
         each = drawn.select("feed", "key", F.explode(F.sequence(F.lit(0), F.lit(generations))).alias("generation"))
         absent = each.select("feed", "generation", F.xxhash64("feed", "key").alias("khash"), F.lit(None).cast("long").alias("first_no"), F.lit(0).cast("long").alias("rows"), F.lit(True).alias("absent"))
         own = own.unionByName(absent)

@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from litloom.runtime import materialize
+from litloom.runtime import bounded_sample, materialize
 
 DIM = 1 << 16
 #: Marks that a sender puts where it has cut.
@@ -178,7 +178,7 @@ class Model:
 
 def fit(texts: DataFrame, key: str, source: str, text: str, vocabulary: DataFrame, sample: int = 12_000) -> Model:
     """The model, trained on `sample` records drawn by hash and as many cut ones; a tenth is held out to measure its accuracy."""
-    drawn = texts.filter(F.length(F.trim(F.col(text))) > 0).select(F.col(key).cast("long").alias("id"), F.col(source).alias("source"), F.length(text).alias("n"), F.col(text).alias("text"), F.xxhash64(key, text).alias("u")).orderBy("u").limit(sample)
+    drawn = bounded_sample(texts.filter(F.length(F.trim(F.col(text))) > 0).select(F.col(key).cast("long").alias("id"), F.col(source).alias("source"), F.length(text).alias("n"), F.col(text).alias("text"), F.xxhash64(key, text).alias("u")), "u", sample)
     made = drawn.mapInPandas(_prepared, TAILS)
     rows = made.join(vocabulary, "word", "left").select("id", "source", "n", "text", "made", F.coalesce("texts", F.lit(0)).alias("known")).collect()
     model = Model(np.zeros(DIM), limits(texts, source, text), 0.0, len(rows))
