@@ -101,3 +101,9 @@ def bounded_sample(df: DataFrame, by: str, n: int) -> DataFrame:
     if total > 4 * n:
         df = df.filter(F.pmod(F.xxhash64(by), F.lit(steps)) < -(-2 * n * steps // total))
     return df.orderBy(by).limit(n)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """df in at least as many partitions as there are cores, for Python stages over few small files; larger inputs stay as they are, without a shuffle."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
