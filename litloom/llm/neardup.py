@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from litloom.runtime import materialize, words
+from litloom.runtime import materialize, spread, words
 
 _PRIME = np.uint64((1 << 61) - 1)
 
@@ -74,7 +74,7 @@ def shingled(df: DataFrame, key: str, texts: Column, width: int) -> DataFrame:
     """(id, shingles): the sorted distinct hashes of `width` consecutive words within each of the record's texts."""
     hashed = F.transform(F.filter(texts, lambda t: t.isNotNull()), lambda t: F.transform(words(t), lambda w: F.xxhash64(w)))
     rows = df.select(F.col(key).cast("long").alias("id"), hashed.alias("texts")).filter("id is not null and texts is not null")
-    return rows.mapInArrow(_shingled(width), "id long, shingles array<long>").filter(F.size("shingles") > 0)
+    return spread(rows).mapInArrow(_shingled(width), "id long, shingles array<long>").filter(F.size("shingles") > 0)
 
 
 def _signed(bands: int, rows: int):

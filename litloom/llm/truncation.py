@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from litloom.runtime import bounded_sample, materialize
+from litloom.runtime import bounded_sample, materialize, spread
 
 DIM = 1 << 16
 #: Marks that a sender puts where it has cut.
@@ -216,5 +216,5 @@ def scored(texts: DataFrame, key: str, source: str, text: str, sample: int = 12_
     vocabulary = materialize(inner_words(texts, text), "words")
     model = fit(texts, key, source, text, vocabulary, sample)
     rows = texts.filter(F.length(F.trim(F.col(text))) > 0).select(F.col(key).cast("long").alias("id"), F.col(source).alias("source"), F.length(text).alias("n"), F.col(text).alias("text"))
-    known = rows.mapInPandas(_tails, TAILS).join(vocabulary, "word", "left").select("id", "source", "n", "text", F.coalesce("texts", F.lit(0)).alias("known"))
+    known = spread(rows).mapInPandas(_tails, TAILS).join(vocabulary, "word", "left").select("id", "source", "n", "text", F.coalesce("texts", F.lit(0)).alias("known"))
     return known.mapInPandas(_scored(model), "id long, source string, n_chars int, score double")
