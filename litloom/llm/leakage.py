@@ -13,7 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from litloom.runtime import materialize, words
@@ -154,16 +154,101 @@ def phrase_matches(index: DataFrame, items: list[tuple[int, list[str]]], width:
     return wanted.groupBy("block").applyInArrow(_matches(texts, pairs, anchors, codes, width), MATCHES)
 
 
-def proximity(index: DataFrame, items: list[tuple[int, list[str]]], terms: int = 8, share: float = 0.75, span: int = 40) -> DataFrame:
-    """(doc_id, item_id, found): documents with at least `share` of a test text's `terms` rarest terms inside one stretch of `span` words, in any order."""
+def _queries(items: list[tuple[int, list[str]]], frequency: dict[str, int], codes: dict[str, int], terms: int, share: float, span: int, width: int, sizes: int = 4) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The different proximity queries of all windows: item, codes of the rarest terms (one beyond the last code for none), number of terms that must be met.
+
+    A term that no document has counts as one of the window's terms, though it can't be met.
+    """
+    none, seen = len(codes), {}
+    for k, (_, ws) in enumerate(items):
+        for length in sorted({min(len(ws), int(x)) for x in np.linspace(width, span, sizes)} - {0}):
+            part = 1 - (1 - share) * max(0, length - width) / max(1, span - width)
+            for s in range(len(ws) - length + 1):
+                rarest = sorted(set(ws[s : s + length]), key=lambda w: (frequency.get(w, 0), w))[:terms]
+                own, need = sorted(codes[w] for w in rarest if w in codes), max(1, int(np.ceil(part * len(rarest) - 1e-9)))
+                if len(own) >= need:
+                    seen[k, *own, *[none] * (terms - len(own)), need] = True
+    table = np.array(list(seen), np.int32).reshape(-1, terms + 2)
+    return table[:, 0], table[:, 1:-1], table[:, -1]
+
+
+NEAR = "doc_id long, item_id long, found long"
+
+
+def _near(keys: list[int], queries: tuple[np.ndarray, np.ndarray, np.ndarray], codes: dict[str, int], span: int, piece: int = 256, units: int = 512, rows: int = 2048):
+    schema = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("found", pa.int64())])
+    owner, wanted, need = queries
+
+    def run(table: pa.Table) -> pa.Table:
+        terms = table.column("term").to_pylist()
+        lists = [np.asarray(x, np.int64) for x in table.column("docs").combine_chunks().to_numpy(zero_copy_only=False)] if terms else []
+        best: dict[tuple[int, int], int] = {}
+        if terms and len(owner):
+            doc, pos = np.concatenate(lists), np.concatenate([np.asarray(x, np.int64) for x in table.column("positions").combine_chunks().to_numpy(zero_copy_only=False)])
+            term = np.repeat(np.array([codes[t] for t in terms], np.int64), [len(x) for x in lists])
+            # a unit is a piece of a document with the span before it: each stretch lies whole in the unit where it ends
+            again = (pos + span - 1) // piece - pos // piece
+            turn = np.arange(again.sum() + len(again)) - np.repeat(np.cumsum(again + 1) - again - 1, again + 1)
+            doc, term, pos = (np.repeat(x, again + 1) for x in (doc, term, pos))
+            part = pos // piece + turn
+            inside = pos - part * piece + span - 1
+            order = np.lexsort((part, doc))
+            doc, term, part, inside = doc[order], term[order], part[order], inside[order]
+            edge = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (part[1:] != part[:-1]), True])
+            for low in range(0, len(edge) - 1, units):
+                own = edge[low : low + units + 1]
+                has = np.zeros((len(codes) + 1, len(own) - 1), np.uint8)
+                has[term[own[0] : own[-1]], np.repeat(np.arange(len(own) - 1), np.diff(own))] = 1
+                pairs = []
+                for q in range(0, len(owner), rows):
+                    met = np.zeros((len(owner[q : q + rows]), len(own) - 1), np.uint8)
+                    for j in range(wanted.shape[1]):
+                        met += has[wanted[q : q + rows, j]]
+                    x, u = np.nonzero(met >= need[q : q + rows, None])
+                    pairs.append(np.stack([u, x + q]))
+                u, x = np.concatenate(pairs, axis=1)
+                order = np.argsort(u, kind="stable")
+                u, x = u[order], x[order]
+                for n in np.unique(u).tolist():
+                    a, b = own[n], own[n + 1]
+                    local, row = np.unique(term[a:b], return_inverse=True)
+                    # for each term and each end of a stretch: does the stretch have the term
+                    times = np.zeros((len(local) + 1, piece + span), np.int32)
+                    np.add.at(times, (row, inside[a:b] + 1), 1)
+                    times = np.cumsum(times, axis=1)
+                    there = (times[:, span:] > times[:, :-span]).view(np.uint8)
+                    place = np.full(len(codes) + 1, len(local))
+                    place[local] = np.arange(len(local))
+                    mine = x[slice(*np.searchsorted(u, [n, n + 1]))]
+                    for q in range(0, len(mine), rows):
+                        some = mine[q : q + rows]
+                        met = np.zeros((len(some), piece), np.uint8)
+                        for j in range(wanted.shape[1]):
+                            met += there[place[wanted[some, j]]]
+                        most = met.max(axis=1)
+                        for i in np.flatnonzero(most >= need[some]).tolist():
+                            pair = int(doc[a]), keys[owner[some[i]]]
+                            best[pair] = max(best.get(pair, 0), int(most[i]))
+        out = [(*k, n) for k, n in best.items()]
+        return pa.table([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True) if out else [[]] * 3, schema, strict=True)], schema=schema)
+
+    return run
+
+
+def proximity(index: DataFrame, items: list[tuple[int, list[str]]], terms: int = 8, share: float = 0.75, span: int = 40, width: int = 13) -> DataFrame:
+    """(doc_id, item_id, found): documents that have, inside one stretch of `span` words and in any order, enough of the `terms` rarest terms of some window of a test text.
+
+    Each stretch of a test text with `width` to `span` words, in four lengths, is a window with its own rarest terms; a shorter
+    text is one window. Of the terms that the window really has, `share` must be met if it has `span` words, all if it has
+    `width` or fewer, and in proportion between: a short window without its one or two names is any text's wording. So each
+    match of phrase_matches at `width` is a match here. `found` is the most terms met for any window.
+    """
+    if not 0 < terms < 256:
+        raise ValueError("a window has 1 to 255 terms")
     spark = index.sparkSession
     vocabulary = spark.createDataFrame([(t,) for t in sorted({w for _, ws in items for w in ws})], "term string")
     wanted = index.join(F.broadcast(vocabulary), "term", "left_semi")
     frequency = {r.term: r.n for r in wanted.groupBy("term").agg(F.sum(F.size("docs")).alias("n")).collect()}
-    chosen = [(key, t) for key, ws in items for t in sorted({w for w in ws if w in frequency}, key=lambda w: (frequency[w], w))[:terms]]
-    rare = spark.createDataFrame(chosen, "item_id long, term string")
-    near = wanted.join(F.broadcast(rare), "term").select("item_id", "term", F.explode(F.arrays_zip("docs", "positions")).alias("p"))
-    # a stretch of `span` words lies in one of two overlapping frames of twice its length
-    frame: Column = F.explode(F.array(F.floor(F.col("p.positions") / (2 * span)) * 2, F.floor((F.col("p.positions") + span) / (2 * span)) * 2 + 1))
-    inside = near.select("item_id", "term", F.col("p.docs").alias("doc_id"), frame.alias("frame")).groupBy("item_id", "doc_id", "frame").agg(F.count_distinct("term").alias("found"))
-    return inside.filter(F.col("found") >= share * terms).groupBy("doc_id", "item_id").agg(F.max("found").alias("found"))
+    codes = {t: i for i, t in enumerate(sorted(frequency))}
+    queries = _queries(items, frequency, codes, terms, share, span, min(width, span))
+    return wanted.groupBy("block").applyInArrow(_near([k for k, _ in items], queries, codes, span), NEAR).groupBy("doc_id", "item_id").agg(F.max("found").alias("found"))

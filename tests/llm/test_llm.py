@@ -216,6 +216,46 @@ def test_phrases_equal_brute_force(spark):
     assert leakage.proximity(index, leakage.items_of(items_df, "i", "t"), terms=4, share=1.0, span=30).count() > 0
 
 
+def test_proximity_has_every_phrase_match_and_equals_brute_force(spark):
+    rng = random.Random(88)
+    w = lambda n: [rng.choice("abcdefgh") + str(rng.randrange(30)) for _ in range(n)]
+    items = [(i, w(rng.choice([3, 13, 25, 90]))) for i in range(10)] + [(10, [])]
+    docs = []
+    for d in range(50):
+        ws = w(rng.choice([0, 30, 700]))
+        t = rng.choice(items)[1]
+        at = rng.randrange(len(t) + 1)
+        passage = t[at : at + rng.randrange(3, 40)]
+        if d % 3 == 0:
+            rng.shuffle(passage)
+        elif d % 3 == 1:
+            passage = [x if rng.random() < 0.8 else "other" for x in passage]
+        ws[(at := rng.randrange(len(ws) + 1)) : at] = passage
+        docs.append((d, " ".join(ws)))
+    index = leakage.build_index(spark.createDataFrame(docs, "d long, text string"), "d", "text", block=7)
+    got = {(r.doc_id, r.item_id): r.found for r in leakage.proximity(index, items).collect()}
+    phrases = {(r.doc_id, r.item_id) for r in leakage.phrase_matches(index, items).collect()}
+    assert phrases and phrases < got.keys()
+    frequency = collections.Counter(x for _, t in docs for x in t.split())
+    want = {}
+    for i, ws in items:
+        for n in {min(len(ws), n) for n in (13, 22, 31, 40)} - {0}:
+            for s in range(len(ws) - n + 1):
+                rarest = set(sorted(set(ws[s : s + n]), key=lambda x: (frequency[x], x))[:8])
+                need = len(rarest) * (1 - 0.25 * max(0, n - 13) / 27) - 1e-9
+                for d, t in docs:
+                    t = t.split()
+                    most = max((len(rarest & set(t[q : q + 40])) for q in range(max(1, len(t) - 39))), default=0)
+                    if most >= need:
+                        want[d, i] = max(want.get((d, i), 0), most)
+    assert got == want
+
+
+def test_proximity_on_the_tables(spark):
+    pairs = lambda name: {(r.doc_id, r.item_id) for r in queries.QUERIES[name](spark, "/root/testdata/sf0.01").collect()}
+    assert pairs("p8_found") <= pairs("p8_proximity")
+
+
 # 9
 
 
