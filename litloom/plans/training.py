@@ -51,7 +51,7 @@ def _warnings(pmc: DataFrame) -> DataFrame:
 
 @query
 def p7_found(spark: SparkSession, folder: str) -> DataFrame:
-    """Each non-null child of every array level, with the places that lead back to its parent."""
+    """Each non-null child of the array levels that its SQL names, with the places that lead back to its parent; the other level of the JSON text is p7_parser_steps."""
     pmc, pubmed = table(spark, folder, "pmc_articles"), table(spark, folder, "pubmed_articles")
     content, mesh = nested.child_tables(pmc, "record_no", "content"), nested.child_tables(pubmed, "record_no", "mesh_terms")
     named = [("section", content["content.sections"]), ("table", content["content.tables"]), ("footnote", content["content.tables.footnotes"]), ("mesh_term", mesh["mesh_terms"]), ("qualifier", mesh["mesh_terms.qualifiers"]), ("warning", _warnings(pmc))]
@@ -83,10 +83,29 @@ def p7_qualifiers(spark: SparkSession, folder: str) -> DataFrame:
     return nested.child_tables(table(spark, folder, "pubmed_articles"), "record_no", "mesh_terms")["mesh_terms.qualifiers"]
 
 
+def _metadata(spark: SparkSession, folder: str, path: str) -> DataFrame:
+    """One table of extraction_metadata; a level that no record has is an empty table of links."""
+    pmc = table(spark, folder, "pmc_articles")
+    found = nested.json_tables(pmc, "record_no", "extraction_metadata")
+    return found[path] if path in found else nested.child_table(pmc, "record_no", F.lit(None).cast("array<string>"), path).drop("item")
+
+
+@query
+def p7_metadata(spark: SparkSession, folder: str) -> DataFrame:
+    """The members of extraction_metadata that are not lists, one row for each record."""
+    return _metadata(spark, folder, "extraction_metadata")
+
+
 @query
 def p7_warnings(spark: SparkSession, folder: str) -> DataFrame:
-    """extraction_metadata.warnings, one row each, the element as JSON text."""
-    return _warnings(table(spark, folder, "pmc_articles")).withColumn("item", F.to_json("item")).withColumnRenamed("item", "warning")
+    """extraction_metadata.warnings, one row each, the members as columns."""
+    return _metadata(spark, folder, "extraction_metadata.warnings")
+
+
+@query
+def p7_parser_steps(spark: SparkSession, folder: str) -> DataFrame:
+    """extraction_metadata.parser.steps, one row each."""
+    return _metadata(spark, folder, "extraction_metadata.parser.steps")
 
 
 @query
