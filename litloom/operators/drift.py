@@ -191,14 +191,14 @@ def flood(old: dict[str, dict], new: dict[str, dict], tops: list[tuple[str, str]
     return dict(zip(pairs, s.tolist(), strict=True))
 
 
-def renames(old: dict[str, dict], new: dict[str, dict], gone: list[str], come: list[str], evidence: float = 0.15) -> list[tuple[str, str]]:
+def renames(old: dict[str, dict], new: dict[str, dict], gone: list[str], come: list[str], evidence: float = 0.15, alike: float = 0.0) -> list[tuple[str, str]]:
     """Consistent correspondences between the fields that only the old and only the new schema has."""
     pairs = []
     for a in gone:
         for b in come:
             if old[a]["kind"] == new[b]["kind"] and old[a]["kind"]:
                 name = name_similarity(a, b)
-                if content_similarity(old[a], new[b], name, "[]." in a) >= evidence:
+                if content_similarity(old[a], new[b], name, "[]." in a) >= evidence and (name >= alike or max(_overlap(old[a][c], new[b][c]) for c in ("values_", "words")) >= alike):
                     pairs.append((a, b))
     if not pairs:
         return []
@@ -242,10 +242,11 @@ def _schemas(rows: pd.DataFrame) -> dict[int, dict[str, dict]]:
         schema: dict[str, dict] = {}
         for path, parts in own.groupby("path"):
             counts = parts[parts["kind"] != ""].groupby("kind")["n"].sum()
+            kinds = sorted(counts.index)
             kind = "" if counts.empty else min(counts.index, key=lambda k: (-counts[k], k))
             parts = parts[parts["kind"] == kind]
             sketch = {c: sorted({h for x in parts[c] for h in x})[:KEEP] for c in ("values_", "words", "shapes")}
-            schema[path] = sketch | {"kind": kind, "n": int(parts["n"].sum()), "low": parts["low"].min(), "high": parts["high"].max(), "word_count": int(parts["word_count"].sum())}
+            schema[path] = sketch | {"kind": kind, "kinds": kinds, "n": int(parts["n"].sum()), "low": parts["low"].min(), "high": parts["high"].max(), "word_count": int(parts["word_count"].sum())}
         out[int(file_no)] = schema
     return out
 
@@ -274,37 +275,142 @@ def changes(records: DataFrame) -> DataFrame:
     return summaries(records).groupBy("feed").applyInPandas(_changes, CHANGES)
 
 
-NAMES = "feed string, file_no int, field string, canonical string, kind string"
+NAMES = "feed string, file_no int, field string, canonical string, kind string, kinds array<string>"
+SKETCH = "n long, values_ array<long>, words array<long>, shapes array<long>, low double, high double, word_count long"
+SKETCHED = [c.split()[0] for c in SKETCH.split(", ")]
 
 
-def _names(rows: pd.DataFrame) -> pd.DataFrame:
-    schemas, out, known = _schemas(rows), [], {}
+def _free(name: str, taken: set[str]) -> str:
+    return name if name not in taken else next(x for n in range(2, 2 + len(taken)) if (x := f"{name}_{n}") not in taken)
+
+
+def _lineage(schemas: dict[int, dict[str, dict]]) -> dict[int, dict[str, str]]:
+    """{file_no: {path: canonical path}} of one feed. A name that comes again for something else gets a name of its own."""
+    known: dict[str, str] = {}
+    held: dict[str, tuple[str, dict]] = {}  # canonical path: the path that last had it, and its summary
+    out: dict[int, dict[str, str]] = {}
     for n in sorted(schemas):
-        if n - 1 in schemas:
-            moved = {q: p for change, p, q in compare(schemas[n - 1], schemas[n]) if change == "renamed" and "[]." not in q}
-            known |= {q: known.get(p, p) for q, p in moved.items()}
-        out += [(rows["feed"].iloc[0], n, p, known.get(p, p), s["kind"]) for p, s in schemas[n].items() if "[]." not in p]
-    return pd.DataFrame(out, columns=["feed", "file_no", "field", "canonical", "kind"])
+        schema, before = schemas[n], schemas.get(n - 1, {})
+        moved = {q: p for change, p, q in compare(before, schema) if change == "renamed"} if before else {}
+        mine: dict[str, str] = {}
+
+        def origin(q: str, moved: dict = moved) -> str:
+            top, _, leaf = q.partition("[].")
+            return moved.get(q) or (f"{moved.get(top, top)}[].{leaf}" if leaf else q)
+
+        for q in sorted(schema, key=lambda q: ("[]." in q, origin(q) not in before, q)):
+            top, _, leaf = q.partition("[].")
+            under = f"{mine[top]}[]." if leaf else ""
+            goes_on = origin(q) in before
+            c = under + known.get(origin(q) if goes_on else q, q).rpartition("[].")[2]
+            used = set(mine.values())
+            if not goes_on and c in held and held[c][0] != q:
+                other = held[c][1]
+                if other["kind"] != schema[q]["kind"] or content_similarity(other, schema[q], name_similarity(held[c][0], q), bool(leaf)) < 0.15 or held[c][0] in schema:
+                    used |= held.keys()
+            mine[q] = _free(c, used)
+        known |= mine
+        held |= {c: (q, schema[q]) for q, c in mine.items()}
+        out[n] = mine
+    return out
+
+
+def _feed_names(rows: pd.DataFrame) -> pd.DataFrame:
+    """The names within a feed; the sketches of a canonical field are with its last use."""
+    schemas = _schemas(rows)
+    names = _lineage(schemas)
+    last = {c: (n, q) for empty in (True, False) for n in sorted(names) for q, c in names[n].items() if empty or schemas[n][q]["kind"]}
+    blank = {"n": 0, "values_": [], "words": [], "shapes": [], "low": None, "high": None, "word_count": 0}
+    out = [(rows["feed"].iloc[0], n, q, c, schemas[n][q]["kind"], schemas[n][q]["kinds"], *((schemas[n][q] if last[c] == (n, q) else blank)[x] for x in SKETCHED)) for n in names for q, c in names[n].items()]
+    return pd.DataFrame(out, columns=["feed", "file_no", "field", "canonical", "kind", "kinds", *SKETCHED])
+
+
+def _match(table: dict[str, dict], own: dict[str, dict]) -> dict[str, str]:
+    """The path in the table that each canonical path of a feed goes to. table and own: {path: summary, with all its raw names}."""
+    to: dict[str, str] = {}
+
+    def level(schema: dict, under: str) -> list[str]:
+        return sorted(p for p in schema if (p.startswith(f"{under}[].") if under else "[]." not in p))
+
+    def match(ours: list[str], theirs: list[str], under: str) -> None:
+        leaf = lambda p: p.rpartition("[].")[2]
+        free = {leaf(t): t for t in theirs}
+        for p in ours:
+            if leaf(p) in free:
+                to[p] = free.pop(leaf(p))
+        for p in ours:
+            common = [n for n, t in sorted(free.items()) if p not in to and table[t]["names"] & own[p]["names"]]
+            if common:
+                to[p] = free.pop(common[0])
+        # of feeds of unlike kinds, equal shapes alone are no evidence
+        for t, p in renames(table, own, sorted(free.values()), [p for p in ours if p not in to], alike=0.3):
+            to[p] = t
+        for p in ours:
+            to.setdefault(p, under + leaf(p))
+
+    match(level(own, ""), level(table, ""), "")
+    for top in level(own, ""):
+        match(level(own, top), level(table, to[top]), f"{to[top]}[].")
+    return to
+
+
+def _names(rows: pd.DataFrame) -> pd.DataFrame:
+    """One set of names for all feeds: feed by feed, its fields go to those of the feeds before."""
+    table: dict[str, dict] = {}
+    out = []
+    for feed, part in rows.groupby("feed"):
+        own: dict[str, dict] = {}
+        for c, uses in part.groupby("canonical"):
+            own[c] = {x: list(v) if isinstance(v, np.ndarray) else v for x, v in uses.loc[uses["n"].idxmax()].items()} | {"names": {f.rpartition("[].")[2] for f in uses["field"]}}
+        to = _match(table, own)
+        for c, summary in own.items():
+            one = table.setdefault(to[c], summary)
+            one["names"] = one["names"] | summary["names"]
+        out += [(feed, n, f, to[c], kind, kinds) for n, f, c, kind, kinds in part[["file_no", "field", "canonical", "kind", "kinds"]].itertuples(index=False)]
+    return pd.DataFrame(out, columns=["feed", "file_no", "field", "canonical", "kind", "kinds"])
 
 
 def canonical_names(records: DataFrame) -> DataFrame:
-    """(feed, file_no, field, canonical, kind): the column of the one table that a file's field goes to."""
-    return summaries(records).groupBy("feed").applyInPandas(_names, NAMES)
+    """(feed, file_no, field, canonical, kind, kinds): the column of the one table that a file's field goes to, or for a path `list[].member` the member's name in it.
+
+    kind is the most frequent one, kinds has all that were seen. The feeds' schemas are matched in one place: a row for each
+    feed, file and field, with one bounded sketch for each field of a feed.
+    """
+    own = summaries(records).groupBy("feed").applyInPandas(_feed_names, f"{NAMES}, {SKETCH}")
+    return own.groupBy().applyInPandas(_names, NAMES)
 
 
 def consistent_table(records: DataFrame, key: str, names: DataFrame) -> DataFrame:
     """All records in one table: key, feed, file_no and a column for each canonical field.
 
-    A field that is a number, or a boolean, in every file keeps that type; all others become text, with lists and objects
-    as JSON. names is canonical_names(), best materialised.
+    A field whose values are all numbers, or all booleans, keeps that type; all others become text, with lists and objects
+    as JSON, in which members have their canonical names. names is canonical_names(), best materialised.
     """
-    kinds = names.groupBy("canonical").agg(F.collect_set("kind").alias("kinds")).collect()  # one row for each column of the result
-    columns = {r.canonical: "double" if set(r.kinds) <= {"number", ""} and "number" in r.kinds else "boolean" if set(r.kinds) <= {"boolean", ""} and "boolean" in r.kinds else "string" for r in kinds}
-    maps = names.groupBy("feed", "file_no").agg(F.map_from_entries(F.collect_list(F.struct("field", "canonical"))).alias("to"))
+    tops = names.filter(~F.col("field").contains("[]."))
+    kinds = tops.groupBy("canonical").agg(F.array_distinct(F.flatten(F.collect_set("kinds"))).alias("kinds")).collect()  # one row for each column of the result
+    columns = {r.canonical: "double" if set(r.kinds) == {"number"} else "boolean" if set(r.kinds) == {"boolean"} else "string" for r in kinds}
+    member = F.regexp_extract("canonical", r"\[\]\.(.*)$", 1)
+    inner = names.filter(F.col("field").contains("[].")).select("feed", "file_no", F.substring_index("field", "[].", 1).alias("field"), F.regexp_extract("field", r"\[\]\.(.*)$", 1).alias("old"), member.alias("new")).filter("old <> new")
+    inside = inner.groupBy("feed", "file_no", "field").agg(F.map_from_entries(F.collect_list(F.struct("old", "new"))).alias("m")).groupBy("feed", "file_no").agg(F.map_from_entries(F.collect_list(F.struct("field", "m"))).alias("inside"))
+    maps = tops.groupBy("feed", "file_no").agg(F.map_from_entries(F.collect_list(F.struct("field", "canonical"))).alias("to")).join(inside, ["feed", "file_no"], "left")
+
+    def renamed(e: Column) -> Column:
+        own = F.try_element_at("inside", e["key"])
+        parts = F.try_variant_get(F.try_parse_json(e["value"]), "$", "array<variant>")
+
+        def element(v: Column) -> Column:
+            members = F.try_variant_get(v, "$", "map<string,variant>")
+            named = F.transform(F.map_entries(members), lambda m: F.struct(F.coalesce(F.try_element_at(own, m["key"]), m["key"]).alias("key"), m["value"].alias("value")))
+            # as JSON by hand: two members of one element may go to one name, and an element that is no object stays
+            text = F.concat(F.lit("{"), F.array_join(F.transform(named, lambda m: F.concat(F.regexp_extract(F.to_json(F.create_map(m["key"], F.lit(0))), r"^\{(.*):0\}$", 1), F.lit(":"), F.coalesce(F.to_json(m["value"]), F.lit("null")))), ","), F.lit("}"))
+            return F.coalesce(F.when(members.isNotNull(), text), F.to_json(v), F.lit("null"))
+
+        return F.when(own.isNull() | parts.isNull(), e["value"]).otherwise(F.concat(F.lit("["), F.array_join(F.transform(parts, element), ","), F.lit("]")))
+
     parsed = records.select(F.col(key), "feed", F.col("file_no").cast("int").alias("file_no"), F.from_json("payload", T.MapType(T.StringType(), T.StringType())).alias("own"))
     joined = parsed.join(maps, ["feed", "file_no"], "left")
     # two fields of one record may go to one column: the first that is not null holds
-    entries = F.transform(F.filter(F.map_entries("own"), lambda e: e["value"].isNotNull()), lambda e: F.struct(F.coalesce(F.try_element_at("to", e["key"]), e["key"]).alias("key"), e["value"].alias("value")))
+    entries = F.transform(F.filter(F.map_entries("own"), lambda e: e["value"].isNotNull()), lambda e: F.struct(F.coalesce(F.try_element_at("to", e["key"]), e["key"]).alias("key"), renamed(e).alias("value")))
     held = joined.select(key, "feed", "file_no", entries.alias("entries"))
     taken = {key, "feed", "file_no"}
 

@@ -29,3 +29,19 @@ def test_no_rename_by_chance():
     old = {"grants": {"kind": "number", "n": 3, "values_": [1, 2, 3], "words": [], "shapes": [9], "low": 1, "high": 300, "word_count": 0}}
     new = {"pages": old["grants"] | {"values_": [2, 3, 4]}}
     assert drift.compare(old, new) == [("removed", "grants", ""), ("added", "", "pages")]
+
+
+def test_one_table_for_all_feeds(spark):
+    a = [{"types": ["review", "trial"], "parts": [{"sec_type": f"t{i % 3}", "body": f"some words {i}"}], "x": i + 5000, "code": f"A-{i}"} for i in range(40)]
+    b = [{"types": r["types"], "parts": [{"type": p["sec_type"], "body": p["body"]} for p in r["parts"]], "x": "n/a" if i == 7 else r["x"], "label": r["code"]} for i, r in enumerate(a)]
+    c = [{**r, "code": i % 2 == 0} for i, r in enumerate(b)]
+    d = [{"type_names": r["types"]} for r in a]
+    rows = _rows(a, b, c) + [(5000 + i, "g", 1, json.dumps(r)) for i, r in enumerate(d)]
+    df = spark.createDataFrame(rows, "rec_no long, feed string, file_no int, payload string")
+    names = drift.canonical_names(df)
+    table = {r.rec_no: r for r in drift.consistent_table(df, "rec_no", names).collect()}
+    assert set(table[1].__fields__) == {"rec_no", "feed", "file_no", "types", "parts", "x", "code", "code_2"}
+    assert table[5000].types == table[1].types == '["review","trial"]'
+    assert json.loads(table[101].parts) == json.loads(table[1].parts) == a[0]["parts"]
+    assert table[108].x == "n/a" and table[1].x == "5000"
+    assert (table[1].code, table[101].code, table[201].code, table[201].code_2, table[1].code_2) == ("A-0", "A-0", "A-0", True, None)
