@@ -285,17 +285,62 @@ def test_mixture(spark):
 # 10
 
 
+@pytest.fixture(scope="module")
+def ratios():
+    import pyarrow.parquet as pq
+
+    texts = pq.read_table("/root/testdata/sf0.01/documents.parquet", columns=["text"]).column("text").to_pylist()
+    return residue.fit_on([t for t in texts if t])[0]
+
+
+def test_seeds_are_not_in_the_test_tables():
+    import pyarrow.parquet as pq
+
+    from litloom.llm import seeds
+
+    plain = lambda t: re.sub(r"[0-9]+", "9", re.sub(r"\s+", " ", t.lower()))
+    rng = np.random.default_rng(5)
+    made = {plain(x).strip(" .") for t in [*seeds.notices(rng), *seeds.filler(rng), *seeds.prose(rng)] for x in re.split(r"(?<=[.!?])\s", t)}
+    sentences = {s for s in made if len(s) >= 25}
+    for scale in ("sf0.001", "sf0.01", "sf0.1"):
+        corpus = "\n".join(plain(t) for t in pq.read_table(f"/root/testdata/{scale}/documents.parquet", columns=["text"]).column("text").to_pylist() if t)
+        assert not [s for s in sentences if s in corpus]
+
+
 @pytest.mark.parametrize(
     ("text", "found"),
     [
-        ("Give {{ drug_name }} daily.", True), ("Give ${dose} daily.", True), ("Give <%= x %> mg", True), ("of [INSERT DOSE HERE] mg", True), ("Title: undefined", True), ("NaN mg", True),
-        ("%(name)s was", True), ("see [[name]]", True), ("took &lt;dose&gt; mg", True), ("XXX mg", True), ("#{name}", True), ("{% block a %}{% endblock %}", True), ("levels %s from", True),
-        ("Costs rose per {person-year}.", False), ("rate $\\frac{a_{0}}{b}$ and {5, 17} mg", False), ("The ratio was undefined where no event occurred.", False), ("<4 mg and >79 mg", False),
-        ("at 5% deviation", False), ("xxx nan todo", False), ("[see Warnings (5.2)]", False), ("5%s", False), ("", False),
+        ("Give {{ drug_name }} daily.", True), ("Give ${dose} daily.", True), ("Give <%= title %> mg", True), ("of [INSERT DOSE HERE] mg", True),
+        ("%(name)s was", True), ("see [[name]]", True), ("took &lt;dose&gt; mg", True), ("Dear #{first_name},", True), ("Service unavailable. Please try again later.", True),
+        ("Costs rose by 5% (95% CI 2 to 9).", False), ("The ratio was low where no event occurred.", False), ("<4 mg and >79 mg", False),
+        ("at 5% deviation", False), ("[see Warnings (5.2)]", False), ("5% was", False), ("", False),
     ],
 )
-def test_placeholders(text, found):
-    assert bool(residue.placeholders(text)) is found
+def test_residue_of_one_text(ratios, text, found):
+    assert bool(residue.located([text], ratios)[0]) is found
+
+
+def test_residue_is_the_same_in_any_batch(ratios):
+    import pyarrow.parquet as pq
+
+    texts = [t for t in pq.read_table("/root/testdata/sf0.001/documents.parquet", columns=["text"]).column("text").to_pylist() if t] + ["é {{ name }} ü", "\0", "\ud800 {{ name }}"]
+    together = residue.located(texts, ratios)
+    assert together == [residue.located([t], ratios)[0] for t in texts]
+    assert together == residue.located(texts[::-1], ratios)[::-1]
+    assert "{ name }" in "".join("é {{ name }} ü"[a:b] for _, a, b, _ in together[-3])
+    assert all(x[2] <= y[1] for own in together for x, y in zip(own, own[1:]))
+
+
+def test_residue_finds_wordings_that_were_left_out():
+    import pyarrow.parquet as pq
+
+    texts = [t for t in pq.read_table("/root/testdata/sf0.01/documents.parquet", columns=["text"]).column("text").to_pylist() if t]
+    rates = []
+    for part in (1, 3):
+        ratios, unseen = residue.fit_on(texts, part=part, rounds=3)
+        rates.append([np.mean([bool(x) for x in residue.located(own, ratios)]) for own in unseen])
+    slots, filler, notices = np.mean(rates, axis=0)
+    assert notices >= 0.8 and filler >= 0.6 and slots >= 0.4
 
 
 def test_residue(spark):
