@@ -62,19 +62,32 @@ def materialize(df: DataFrame, name: str, by: list[str] | None = None) -> DataFr
     if not _written:
         atexit.register(release)
     _written.append((spark, path))
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_at = path
+    return out
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    try:
+        jvm = spark.sparkContext._jvm
+        where = jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+    except Exception:  # the session may be gone at exit
+        pass
+
+
+def drop(*tables: DataFrame) -> None:
+    """Delete tables that materialize() has written and nothing reads any more."""
+    gone = {t.written_at for t in tables}
+    for spark, path in [x for x in _written if x[1] in gone]:
+        _delete(spark, path)
+        _written.remove((spark, path))
 
 
 def release() -> None:
     """Delete what materialize() has written in this process."""
     while _written:
-        spark, path = _written.pop()
-        try:
-            jvm = spark.sparkContext._jvm
-            where = jvm.org.apache.hadoop.fs.Path(path)
-            where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
-        except Exception:  # the session may be gone at exit
-            pass
+        _delete(*_written.pop())
 
 
 def partitions(spark: SparkSession) -> int:
