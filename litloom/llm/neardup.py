@@ -1,9 +1,9 @@
 """Near-duplicate records: universal hash minima with banding, signature verification, connected components.
 
-Records with the same set of shingles form a class and take part once. The minima of `bands` x `rows` universal hash
-functions are cut into bands; records that agree in a band are candidates. A bucket larger than `block` is cut into
-blocks, and each pair of blocks is a task of its own, so no task grows with a hot bucket and no candidate is lost.
-Candidates are checked by their signatures, then by their sets. Components come from alternating large-star and
+Records with the same set of shingles form a class and take part once. The first `bands` x `rows` of the minima of
+`hashes` universal hash functions are cut into bands; records that agree in a band are candidates. A bucket larger than
+`block` is cut into blocks, and each pair of blocks is a row of its own, so no task grows with a hot bucket and no
+candidate is lost. Candidates are told by their signatures; the sets decide where these come near the threshold. Components come from alternating large-star and
 small-star rounds, each written to the shared folder.
 """
 
@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from litloom.runtime import materialize, spread, words
+from litloom.runtime import drop, materialize, spread, words
 
 _PRIME = np.uint64((1 << 61) - 1)
 
@@ -58,28 +58,32 @@ def _sets(texts: pa.ListArray, width: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _shingled(width: int):
-    schema = pa.schema([("id", pa.int64()), ("shingles", pa.list_(pa.int64()))])
+    schema = pa.schema([("id", pa.int64()), ("h", pa.int64()), ("h2", pa.int64()), ("shingles", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
                 h, start = _sets(pa.concat_arrays([part.column(1)]), width)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.ListArray.from_arrays(pa.array(start.astype(np.int32)), pa.array(h.view(np.int64)))], schema=schema)
+                full = np.flatnonzero(np.diff(start))
+                start = start[np.r_[full, len(start) - 1]]
+                with np.errstate(over="ignore"):
+                    prints = [np.add.reduceat((h ^ np.uint64(k)) * (h | np.uint64(1)) * np.uint64(k), start[:-1]) if len(full) else h[:0] for k in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)]
+                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(full)), *(pa.array(x.view(np.int64)) for x in prints), pa.ListArray.from_arrays(pa.array(start.astype(np.int32)), pa.array(h.view(np.int64)))], schema=schema)
 
     return run
 
 
 def shingled(df: DataFrame, key: str, texts: Column, width: int) -> DataFrame:
-    """(id, shingles): the sorted distinct hashes of `width` consecutive words within each of the record's texts."""
+    """(id, h, h2, shingles): the sorted distinct hashes of `width` consecutive words within each of the record's texts, and two hashes of the set; records without any are left out."""
     hashed = F.transform(F.filter(texts, lambda t: t.isNotNull()), lambda t: F.transform(words(t), lambda w: F.xxhash64(w)))
     rows = df.select(F.col(key).cast("long").alias("id"), hashed.alias("texts")).filter("id is not null and texts is not null")
-    return spread(rows).mapInArrow(_shingled(width), "id long, shingles array<long>").filter(F.size("shingles") > 0)
+    return spread(rows).mapInArrow(_shingled(width), "id long, h long, h2 long, shingles array<long>")
 
 
-def _signed(bands: int, rows: int):
+def _signed(hashes: int, bands: int, rows: int):
     schema = pa.schema([("id", pa.int64()), ("bands", pa.list_(pa.int64())), ("digest", pa.binary())])
-    a, b = _family(bands * rows)
+    a, b = _family(hashes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -88,24 +92,26 @@ def _signed(bands: int, rows: int):
                 lists = pa.concat_arrays([part.column(1)])
                 flat = lists.flatten().to_numpy().view(np.uint64)
                 starts = (lists.offsets.to_numpy() - lists.offsets.to_numpy()[0])[:-1]
-                minima = np.empty((bands * rows, part.num_rows), np.uint64)
+                minima = np.empty((hashes, part.num_rows), np.uint64)
                 with np.errstate(over="ignore"):
-                    for i in range(bands * rows):
+                    for i in range(hashes):
                         minima[i] = np.minimum.reduceat((flat * a[i] + b[i]) >> np.uint64(16), starts)
                     keys = np.zeros((bands, part.num_rows), np.uint64)
                     for j in range(rows):
-                        keys = (keys ^ minima[j::rows]) * np.uint64(0xBF58476D1CE4E5B9)
+                        keys = (keys ^ minima[j : bands * rows : rows]) * np.uint64(0xBF58476D1CE4E5B9)
                         keys ^= keys >> np.uint64(31)
                     keys += np.arange(bands, dtype=np.uint64)[:, None] * np.uint64(0x94D049BB133111EB)
-                digest = (minima & np.uint64(255)).astype(np.uint8).T.copy()
+                half = (minima & np.uint64(15)).astype(np.uint8)
+                digest = (half[::2] | (half[1::2] << 4)).T.copy()
                 offsets = pa.array((np.arange(part.num_rows + 1) * bands).astype(np.int32))
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.ListArray.from_arrays(offsets, pa.array(keys.T.reshape(-1).view(np.int64))), pa.array([d.tobytes() for d in digest], pa.binary())], schema=schema)
 
     return run
 
 
-def signatures(sets: DataFrame, bands: int, rows: int) -> DataFrame:
-    return sets.mapInArrow(_signed(bands, rows), "id long, bands array<long>, digest binary")
+def signatures(sets: DataFrame, hashes: int, bands: int, rows: int) -> DataFrame:
+    """(id, bands, digest): a key for each band, and four bits of each minimum."""
+    return sets.select("id", "shingles").mapInArrow(_signed(hashes, bands, rows), "id long, bands array<long>, digest binary")
 
 
 def candidates(signed: DataFrame, block: int = 256) -> DataFrame:
@@ -113,47 +119,59 @@ def candidates(signed: DataFrame, block: int = 256) -> DataFrame:
     rows = signed.select("id", F.explode("bands").alias("band"))
     sized = rows.withColumn("size", F.count("*").over(Window.partitionBy("band"))).filter("size > 1")
     blocks = F.ceil(F.col("size") / block).cast("int")
+    # the window has brought each band together already: lists of about `block` members need no further shuffle
     own = sized.select("band", "id", blocks.alias("blocks"), F.pmod(F.xxhash64("id"), blocks).cast("int").alias("own"))
-    held = materialize(own, "buckets")
-    left = held.select("band", F.col("id").alias("a"), F.col("own").alias("i"), F.explode(F.sequence(F.col("own"), F.col("blocks") - 1)).alias("j"))
-    right = held.select("band", F.col("id").alias("b"), F.explode(F.sequence(F.lit(0), F.col("own"))).alias("i"), F.col("own").alias("j"))
-    met = left.join(right, ["band", "i", "j"]).filter((F.col("i") < F.col("j")) | (F.col("a") < F.col("b")))
-    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a < b").distinct()
+    held = materialize(own.groupBy("band", "own").agg(F.max("blocks").alias("blocks"), F.sort_array(F.collect_list("id")).alias("ids")), "buckets")
+    within = held.filter(F.size("ids") > 1).select(F.posexplode("ids").alias("at", "a"), "ids").select("a", F.explode(F.slice("ids", F.col("at") + 2, F.size("ids"))).alias("b"))
+    hot = held.filter("blocks > 1")
+    met = hot.select("band", F.col("own").alias("i"), F.col("ids").alias("x"), F.explode(F.sequence(F.col("own") + 1, F.col("blocks"))).alias("j")).join(hot.select("band", F.col("own").alias("j"), F.col("ids").alias("y")), ["band", "j"])
+    across = met.select(F.explode("x").alias("p"), "y").select("p", F.explode("y").alias("q")).select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b"))
+    return within.unionByName(across).filter("a < b").distinct()
 
 
 def _verified(threshold: float, hashes: int):
-    """Pairs whose signatures agree as often as the threshold allows (four standard deviations below it)."""
-    lowest = threshold - 4 * (threshold * (1 - threshold) / hashes) ** 0.5
+    """Pairs whose signatures agree as often as the threshold allows (four standard deviations below it); sure: whether they do so far above it (five and a half)."""
+    spread_ = (threshold * (1 - threshold) / hashes * 16 / 15) ** 0.5
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("similarity", pa.float64()), ("sure", pa.bool_())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(batch.num_rows, -1) for c in (2, 3))
-            agree = (x == y).mean(axis=1) if batch.num_rows else np.zeros(0)
-            estimate = (agree - 1 / 256) / (1 - 1 / 256)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(estimate >= lowest))
+            d = x ^ y
+            agree = (((d & 15) == 0).sum(axis=1) + ((d >> 4) == 0).sum(axis=1)) / hashes if batch.num_rows else np.zeros(0)
+            estimate = (agree - 1 / 16) * 16 / 15
+            out = pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(estimate), pa.array(estimate >= threshold + 5.5 * spread_)], schema=schema)
+            yield out.filter(pa.array(estimate >= threshold - 4 * spread_))
 
     return run
 
 
-def similar_pairs(sets: DataFrame, threshold: float, bands: int = 80, rows: int = 5, block: int = 256) -> DataFrame:
-    """(a, b, similarity) for the distinct sets `sets` (id, shingles) whose Jaccard similarity is at least `threshold`."""
-    signed = materialize(signatures(sets, bands, rows), "signatures")
+def similar_pairs(sets: DataFrame, threshold: float, hashes: int = 400, bands: int = 50, rows: int = 4, block: int = 256) -> DataFrame:
+    """(a, b, similarity) for the distinct sets `sets` (id, shingles) whose Jaccard similarity is at least `threshold`.
+
+    The similarity is exact where the signatures' estimate is within 5.5 standard deviations of the threshold, else that
+    estimate, which then leaves no doubt that the pair belongs here. The result is written out.
+    """
+    signed = materialize(signatures(sets, hashes, bands, rows), "signatures")
     pairs = candidates(signed, block)
     x = signed.select(F.col("id").alias("a"), F.col("digest").alias("x"))
     y = signed.select(F.col("id").alias("b"), F.col("digest").alias("y"))
-    kept = pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(_verified(threshold, bands * rows), "a long, b long")
-    kept = materialize(kept, "verified")
-    s = kept.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("s")), "a").join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("t")), "b")
+    told = materialize(pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(_verified(threshold, hashes), "a long, b long, similarity double, sure boolean"), "verified")
+    near = told.filter("not sure").select("a", "b")
+    s = near.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("s")), "a").join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("t")), "b")
     both = F.size(F.array_intersect("s", "t"))
-    return s.select("a", "b", (both / (F.size("s") + F.size("t") - both)).alias("similarity")).filter(F.col("similarity") >= threshold)
+    decided = s.select("a", "b", (both / (F.size("s") + F.size("t") - both)).alias("similarity")).filter(F.col("similarity") >= threshold)
+    out = materialize(told.filter("sure").select("a", "b", "similarity").unionByName(decided), "pairs")
+    drop(signed, told)
+    return out
 
 
 def classes(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(sets of one record of each class of equal sets, membership (id, rep)); both written out."""
-    print_ = sets.select("id", F.xxhash64("shingles").alias("h"), F.hash("shingles").alias("h2"), F.size("shingles").alias("n"))
+    """(sets of one record of each class of equal sets, membership (id, rep)); sets is what shingled() gives, best written out."""
+    print_ = sets.select("id", "h", "h2", F.size("shingles").alias("n"))
     reps = print_.groupBy("h", "h2", "n").agg(F.min("id").alias("rep"))
     member = materialize(print_.join(reps, ["h", "h2", "n"]).select("id", "rep"), "members")
-    return materialize(sets.join(member.filter("id = rep").select("id"), "id", "left_semi"), "sets"), member
+    return sets.join(member.filter("id = rep").select("id"), "id", "left_semi"), member
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -176,7 +194,8 @@ def components(edges: DataFrame) -> DataFrame:
     before = None
     while (state := mark(now)) != before:
         before = state
-        now = materialize(star(star(now, True), False), "stars")
+        last, now = now, materialize(star(star(now, True), False), "stars")
+        drop(last)
     # at the fixed point every edge goes from a record straight to the smallest of its component
     return now.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(now.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from litloom.llm import leakage, mixing, neardup, residue, seen, split, terms, truncation
-from litloom.runtime import WHITESPACE, materialize, table
+from litloom.runtime import WHITESPACE, drop, materialize, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -155,26 +155,29 @@ select feed, number as record_no from f where number is not null and first < num
 LABEL_SIMILARITY = 0.65
 
 
-def _label_sets(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+def _label_pairs(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Pairs of classes of equal labels, and which label is in which class."""
     labels = table(spark, folder, "dailymed_labels")
     texts = F.coalesce(F.transform("sections", lambda s: s["text"]), F.array().cast("array<string>"))
     told = labels.filter(F.exists(texts, lambda t: t.isNotNull() & t.rlike(r"\S")))
-    return neardup.classes(materialize(neardup.shingled(told, "record_no", F.concat(F.array("drug_name", "manufacturer"), texts), 3), "shingles"))
+    sets = materialize(neardup.shingled(told, "record_no", F.concat(F.array("drug_name", "manufacturer"), texts), 3), "sets")
+    distinct, member = neardup.classes(sets)
+    pairs = neardup.similar_pairs(distinct, LABEL_SIMILARITY)
+    drop(sets)
+    return pairs, member
 
 
 @query
 def p1_found(spark: SparkSession, folder: str) -> DataFrame:
     """Each pair of labels whose similarity is at least 0.65."""
-    sets, member = _label_sets(spark, folder)
-    pairs = neardup.similar_pairs(sets, LABEL_SIMILARITY)
+    pairs, member = _label_pairs(spark, folder)
     return neardup.expanded(pairs, member).select(F.col("a").alias("record_no_a"), F.col("b").alias("record_no_b"))
 
 
 @query
 def p1_groups(spark: SparkSession, folder: str) -> DataFrame:
     """Each label with section text: its group, its class of equal labels, and how many other classes it is linked with."""
-    sets, member = _label_sets(spark, folder)
-    pairs = materialize(neardup.similar_pairs(sets, LABEL_SIMILARITY), "pairs")
+    pairs, member = _label_pairs(spark, folder)
     linked = neardup.components(pairs).withColumnRenamed("id", "rep")
     links = pairs.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count("*").alias("links"))
     out = member.join(linked, "rep", "left").join(links, "rep", "left")
