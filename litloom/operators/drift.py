@@ -1,10 +1,10 @@
 """Schemas that drift between files: similarity flooding between the schema graphs of consecutive files.
 
 Each task reduces its records to one row for each file and field: type counts and bounded sketches of the values, their
-words and their shapes. A feed's files are then compared one after the other: pairs of fields start with a similarity
-of content, name and type; scores flow along equal edges (nesting, type) of the two graphs until they settle; among
-fields that only one file has, the best consistent pairs with enough evidence are renames. The changes give each file a
-map of its names to those of one table, into which all records are cast.
+words and their shapes. A feed's files are then compared one after the other: all pairs of fields that may correspond
+start with a similarity of content and name; scores flow along equal edges (nesting, type) of the two graphs until they
+settle; among fields that only one file has, the best consistent pairs whose settled score is enough are renames. The
+changes give each file a map of its names to those of one table, into which all records are cast.
 """
 
 from __future__ import annotations
@@ -25,7 +25,8 @@ from pyspark.sql import types as T
 from litloom.runtime import spread
 
 KEEP = 256  # hashes kept in a sketch
-WORD = re.compile(r"\w+")
+WORD, LETTERS, DIGITS = re.compile(r"\w+"), re.compile(r"[^\W\d_]+"), re.compile(r"[0-9]+")
+FIELDS = 20_000  # fields whose sketches a task holds at once
 SUMMARY = "feed string, file_no int, path string, kind string, n long, values_ array<long>, words array<long>, shapes array<long>, low double, high double, word_count long"
 
 
@@ -34,38 +35,41 @@ def _hash(text: str) -> int:
 
 
 class _Field:
-    """What one task has seen of a field of a file."""
+    """What one task has seen of a field of a file: distinct values, words and shapes, reduced to bounded sketches whenever there are many."""
 
-    __slots__ = ("high", "low", "n", "shapes", "values", "word_count", "words")
+    __slots__ = ("high", "low", "n", "raw", "sketches", "word_count")
 
     def __init__(self):
         self.n, self.word_count, self.low, self.high = 0, 0, float("inf"), float("-inf")
-        self.values, self.words, self.shapes = set(), set(), set()
+        self.raw: tuple[set[str], set[str], set[str]] = (set(), set(), set())  # values, words, shapes
+        self.sketches: list[list[int]] = [[], [], []]
 
     def see(self, value) -> None:
         self.n += 1
+        values, words, shapes = self.raw
         if isinstance(value, bool):
-            self._put(str(value), [], "b")
+            values.add(str(value))
         elif isinstance(value, (int, float)):
             self.low, self.high = min(self.low, value), max(self.high, value)
-            self._put(repr(value), [], "9")
+            values.add(repr(value))
         elif isinstance(value, str):
             found = WORD.findall(value.lower())
             self.word_count += len(found)
-            self._put(value, found, re.sub(r"[0-9]+", "9", re.sub(r"[^\W\d_]+", "a", value[:64])))
+            values.add(value)
+            words.update(found)
+            shapes.add(DIGITS.sub("9", LETTERS.sub("a", value)))
         elif isinstance(value, dict):
-            for k, v in value.items():
-                self._put(f"{k}:{v}", [k], k)
+            values.update(f"{k}:{v}" for k, v in value.items())
+            words.update(value)
+        if len(values) + len(words) + len(shapes) > 32 * KEEP:
+            self.reduce()
 
-    def _put(self, value: str, words: list[str], shape: str) -> None:
-        self.values.add(_hash(value))
-        self.shapes.add(_hash(shape))
-        self.words.update(map(_hash, words))
-        for s in (self.values, self.words, self.shapes):
-            if len(s) > 8 * KEEP:
-                kept = heapq.nsmallest(KEEP, s)
-                s.clear()
-                s.update(kept)
+    def reduce(self) -> list[list[int]]:
+        for i, raw in enumerate(self.raw):
+            if raw:
+                self.sketches[i] = heapq.nsmallest(KEEP, {*self.sketches[i], *map(_hash, raw)})
+                raw.clear()
+        return self.sketches
 
 
 def _kind(value) -> str:
@@ -100,10 +104,15 @@ def _summaries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 for k, v in record.items():
                     if v is not None:
                         _observe(seen, (feed, file_no, k), v, True)
-    yield pd.DataFrame(
-        [(*k, f.n, *(heapq.nsmallest(KEEP, s) for s in (f.values, f.words, f.shapes)), *((f.low, f.high) if f.low <= f.high else (None, None)), f.word_count) for k, f in seen.items()],
-        columns=["feed", "file_no", "path", "kind", "n", "values_", "words", "shapes", "low", "high", "word_count"],
-    )
+        if len(seen) > FIELDS:
+            yield _rows(seen)
+            seen.clear()
+    yield _rows(seen)
+
+
+def _rows(seen: dict[tuple, _Field]) -> pd.DataFrame:
+    rows = [(*k, f.n, *f.reduce(), *((f.low, f.high) if f.low <= f.high else (None, None)), f.word_count) for k, f in seen.items()]
+    return pd.DataFrame(rows, columns=["feed", "file_no", "path", "kind", "n", "values_", "words", "shapes", "low", "high", "word_count"])
 
 
 def _overlap(a: list, b: list) -> float:
@@ -148,90 +157,114 @@ def content_similarity(a: dict, b: dict, name: float, nested: bool) -> float:
     return max(values, 0.9 * words, (0.8 if single or nested else 0.4) * shapes)
 
 
-def flood(old: dict[str, dict], new: dict[str, dict], tops: list[tuple[str, str]], rounds: int = 60, enough: float = 1e-3) -> dict[tuple[str, str], float]:
-    """Similarity flooding over the pairs `tops` and the pairs of their sub-fields and types; scores from 0 to 1."""
-    start: dict[tuple[str, str], float] = {}
-    edges: dict[tuple[str, str], list[tuple[str, str]]] = defaultdict(list)
-    subs = lambda schema: {t: [p for p in schema if p.startswith(t + "[].")] for t in schema if "[]." not in t}
-    a_subs, b_subs = subs(old), subs(new)
-
-    def seed(a: str, b: str) -> float:
-        x, y, name = old[a], new[b], 1.0 if a == b else name_similarity(a, b)
-        same = x["kind"] == y["kind"]
-        return 0.5 * (content_similarity(x, y, name, "[]." in a) if same else 0.0) + 0.35 * name + 0.15 * same
-
-    for a, b in tops:
-        start[a, b] = seed(a, b)
-        below = [(p, q) for p in a_subs.get(a, []) for q in b_subs.get(b, [])]
-        for pair in below:
-            start.setdefault(pair, seed(*pair))
-        for pair in [(a, b), *below]:
-            kinds = ("type " + old[pair[0]]["kind"], "type " + new[pair[1]]["kind"])
-            start.setdefault(kinds, float(kinds[0] == kinds[1]))
-            edges[pair].append(kinds)
-            edges[kinds].append(pair)
-        for pair in below:
-            edges[a, b].append(pair)
-            edges[pair].append((a, b))
-    pairs = list(start)
-    at = {p: i for i, p in enumerate(pairs)}
-    s0 = np.array([start[p] for p in pairs])
-    s = s0.copy()
-    source = np.array([at[p] for p in pairs for _ in edges[p]], np.int64)
-    target = np.array([at[q] for p in pairs for q in edges[p]], np.int64)
-    weight = 1.0 / np.bincount(source, minlength=len(pairs)).clip(1)[source] if len(source) else np.array([])
+def _leaf(path: str) -> str:
+    return path.rpartition("[].")[2]
+
+
+def _level(schema: dict[str, dict], under: str) -> set[str]:
+    """The top-level paths, or those of the members of a list."""
+    return {p for p in schema if (p.startswith(f"{under}[].") if under else "[]." not in p)}
+
+
+def _pairs(a: set[str], b: set[str]) -> list[tuple[str, str]]:
+    """The pairs that may correspond: those of equal names, and of what only one side has each with each."""
+    own, then = {_leaf(p): p for p in a}, {_leaf(q): q for q in b}
+    return [(own[x], then[x]) for x in sorted(own.keys() & then.keys())] + [(own[x], then[y]) for x in sorted(own.keys() - then.keys()) for y in sorted(then.keys() - own.keys())]
+
+
+# What of a pair's score comes from the pairs of its members, from the pair it is a member of, and from all pairs of its types.
+FROM_MEMBERS, FROM_PARENT, FROM_TYPE = 0.4, 0.08, 0.05
+ENOUGH = FROM_PARENT + FROM_TYPE  # the settled score of a correspondence: more than a pair without likeness of its own or in its members can get
+
+
+def flood(old: dict[str, dict], new: dict[str, dict], tops: list[tuple[str, str]], rounds: int = 100, settled: float = 1e-5) -> dict[tuple[str, str], float]:
+    """Similarity flooding over the pairs `tops` and the pairs of their members; settled scores from 0 to 1.
+
+    Nodes are pairs of fields and pairs of types, edges nesting and type. A pair starts with the likeness of its contents and
+    names; in each round it takes parts of its score from its neighbours: of its members' pairs the best for each member, over
+    the larger number of members, so that unlike lists lose by all that has no partner. The shares add up to less than one,
+    so the scores settle.
+    """
+    pairs, members = list(tops), {}
+    for i, (p, q) in enumerate(tops):
+        if old[p]["kind"] == new[q]["kind"] == "list of object":
+            a, b = _level(old, p), _level(new, q)
+            below = _pairs(a, b)
+            members[i] = (np.arange(len(pairs), len(pairs) + len(below)), [x for x, _ in below], max(len(a), len(b), 1))
+            pairs += below
+    if not pairs:
+        return {}
+    start, kinds = np.zeros(len(pairs)), []
+    for i, (p, q) in enumerate(pairs):
+        x, y = old[p], new[q]
+        kinds.append((x["kind"], y["kind"]))
+        if x["kind"] == y["kind"] != "":
+            name = 1.0 if _leaf(p) == _leaf(q) else name_similarity(p, q)
+            content = content_similarity(x, y, name, "[]." in p)
+            start[i] = 0.75 * content + (0.25 * name if content > 0 else 0.0)
+    types = {k: i for i, k in enumerate(dict.fromkeys(kinds))}
+    of_type = np.array([types[k] for k in kinds])
+    equal = np.array([k[0] == k[1] for k in types])
+    many = np.bincount(of_type, minlength=len(types))
+    parent = np.full(len(pairs), -1)
+    for i, (below, _, _) in members.items():
+        parent[below] = i
+    inside = parent >= 0
+    own = 1.0 - FROM_TYPE - FROM_PARENT * inside
+    own[list(members)] -= FROM_MEMBERS
+    score = start
     for _ in range(rounds):
-        flow = np.bincount(target, weights=(s0 + s)[source] * weight, minlength=len(pairs)) if len(source) else 0.0
-        after = s0 + s + flow
-        after = after / max(after.max(initial=0.0), 1e-12)
-        settled = np.abs(after - s).max(initial=0.0) < enough
-        s = after
-        if settled:
+        flow = FROM_TYPE * (np.bincount(of_type, weights=score, minlength=len(types)) / many * equal)[of_type]
+        flow[inside] += FROM_PARENT * score[parent[inside]]
+        for i, (below, left, size) in members.items():
+            best: dict[str, float] = {}
+            for j, x in zip(below, left, strict=True):
+                best[x] = max(best.get(x, 0.0), score[j])
+            flow[i] += FROM_MEMBERS * sum(best.values()) / size
+        before, score = score, own * start + flow
+        if np.abs(score - before).max() < settled:
             break
-    return dict(zip(pairs, s.tolist(), strict=True))
-
-
-def renames(old: dict[str, dict], new: dict[str, dict], gone: list[str], come: list[str], evidence: float = 0.15, alike: float = 0.0) -> list[tuple[str, str]]:
-    """Consistent correspondences between the fields that only the old and only the new schema has."""
-    pairs = []
-    for a in gone:
-        for b in come:
-            if old[a]["kind"] == new[b]["kind"] and old[a]["kind"]:
-                name = name_similarity(a, b)
-                if content_similarity(old[a], new[b], name, "[]." in a) >= evidence and (name >= alike or max(_overlap(old[a][c], new[b][c]) for c in ("values_", "words")) >= alike):
-                    pairs.append((a, b))
-    if not pairs:
-        return []
-    score = flood(old, new, pairs)
-    out, used = [], set()
-    for a, b in sorted(pairs, key=lambda p: (-score[p], p)):
-        if ("old", a) not in used and ("new", b) not in used:
-            used |= {("old", a), ("new", b)}
+    return dict(zip(pairs, score.tolist(), strict=True))
+
+
+def renames(score: dict[tuple[str, str], float], old: dict[str, dict], new: dict[str, dict], gone: list[str], come: list[str], alike: float = 0.0) -> list[tuple[str, str]]:
+    """Consistent correspondences between `gone` and `come`: of the pairs of one type whose settled score is enough, the best first, each field once.
+
+    alike: what the names, values or words of a pair must have in common besides.
+    """
+    out: list[tuple[str, str]] = []
+    left, right = set(gone), set(come)
+    for a, b in sorted(((a, b) for a in gone for b in come), key=lambda p: (-score.get(p, 0.0), p)):
+        if score.get((a, b), 0.0) < ENOUGH:
+            break
+        if a in left and b in right and old[a]["kind"] == new[b]["kind"] and (not alike or max(name_similarity(a, b), *(_overlap(old[a][c], new[b][c]) for c in ("values_", "words"))) >= alike):
+            left.remove(a)
+            right.remove(b)
             out.append((a, b))
     return out
 
 
 def compare(old: dict[str, dict], new: dict[str, dict]) -> list[tuple[str, str, str]]:
     """(change, old_field, new_field) between two schemas {path: summary}."""
-    out: list[tuple[str, str, str]] = []
-    level = lambda schema, under: {p for p in schema if (p.startswith(under + "[].") if under else "[]." not in p)}
-    a, b = level(old, ""), level(new, "")
-    moved = renames(old, new, sorted(a - b), sorted(b - a))
-    out += [("renamed", p, q) for p, q in moved]
-    out += [("removed", p, "") for p in sorted(a - b - {p for p, _ in moved})]
-    out += [("added", "", q) for q in sorted(b - a - {q for _, q in moved})]
+    a, b = _level(old, ""), _level(new, "")
+    score = flood(old, new, _pairs(a, b))
     differ = lambda x, y: x["kind"] != y["kind"] and x["kind"] and y["kind"]
-    out += [("retyped", p, p) for p in sorted(a & b) if differ(old[p], new[p])]
-    for p, q in [*((p, p) for p in sorted(a & b)), *moved]:
+
+    def changed(a: set[str], b: set[str]) -> tuple[list[tuple[str, str, str]], list[tuple[str, str]]]:
+        own, then = {_leaf(p): p for p in a}, {_leaf(q): q for q in b}
+        lost, got = sorted(own[x] for x in own.keys() - then.keys()), sorted(then[x] for x in then.keys() - own.keys())
+        moved = renames(score, old, new, lost, got)
+        out = [("renamed", p, q) for p, q in moved]
+        out += [("removed", p, "") for p in lost if p not in {x for x, _ in moved}]
+        out += [("added", "", q) for q in got if q not in {y for _, y in moved}]
+        kept = [(own[x], then[x]) for x in sorted(own.keys() & then.keys())]
+        out += [("retyped", q, q) for p, q in kept if differ(old[p], new[q])]
+        return out, kept + moved
+
+    out, same = changed(a, b)
+    for p, q in same:
         if old[p]["kind"] == new[q]["kind"] == "list of object":
-            own = {x[len(p) + 3 :]: x for x in level(old, p)}
-            then = {x[len(q) + 3 :]: x for x in level(new, q)}
-            lost, got = sorted(own.keys() - then.keys()), sorted(then.keys() - own.keys())
-            inner = renames(old, new, [own[x] for x in lost], [then[x] for x in got])
-            out += [("renamed", x, y) for x, y in inner]
-            out += [("removed", own[x], "") for x in lost if own[x] not in {i for i, _ in inner}]
-            out += [("added", "", then[x]) for x in got if then[x] not in {j for _, j in inner}]
-            out += [("retyped", then[x], then[x]) for x in sorted(own.keys() & then.keys()) if differ(old[own[x]], new[then[x]])]
+            out += changed(_level(old, p), _level(new, q))[0]
     return out
 
 
@@ -329,28 +362,30 @@ def _match(table: dict[str, dict], own: dict[str, dict]) -> dict[str, str]:
     """The path in the table that each canonical path of a feed goes to. table and own: {path: summary, with all its raw names}."""
     to: dict[str, str] = {}
 
-    def level(schema: dict, under: str) -> list[str]:
-        return sorted(p for p in schema if (p.startswith(f"{under}[].") if under else "[]." not in p))
-
-    def match(ours: list[str], theirs: list[str], under: str) -> None:
-        leaf = lambda p: p.rpartition("[].")[2]
-        free = {leaf(t): t for t in theirs}
+    def match(ours: list[str], theirs: list[str], under: str, top: str) -> None:
+        free = {_leaf(t): t for t in theirs}
         for p in ours:
-            if leaf(p) in free:
-                to[p] = free.pop(leaf(p))
+            if _leaf(p) in free:
+                to[p] = free.pop(_leaf(p))
         for p in ours:
             common = [n for n, t in sorted(free.items()) if p not in to and table[t]["names"] & own[p]["names"]]
             if common:
                 to[p] = free.pop(common[0])
+        alone = [p for p in ours if p not in to]
+        score = flood(table, own, [(to[top], top)] if under else [(to[p], p) for p in ours if p in to] + [(t, p) for t in free.values() for p in alone])
         # of feeds of unlike kinds, equal shapes alone are no evidence
-        for t, p in renames(table, own, sorted(free.values()), [p for p in ours if p not in to], alike=0.3):
+        for t, p in renames(score, table, own, sorted(free.values()), alone, alike=0.3):
             to[p] = t
         for p in ours:
-            to.setdefault(p, under + leaf(p))
-
-    match(level(own, ""), level(table, ""), "")
-    for top in level(own, ""):
-        match(level(own, top), level(table, to[top]), f"{to[top]}[].")
+            to.setdefault(p, under + _leaf(p))
+
+    match(sorted(_level(own, "")), sorted(_level(table, "")), "", "")
+    for top in sorted(_level(own, "")):
+        if to[top] in table:
+            match(sorted(_level(own, top)), sorted(_level(table, to[top])), f"{to[top]}[].", top)
+        else:
+            for p in _level(own, top):
+                to[p] = f"{to[top]}[].{_leaf(p)}"
     return to
 
 
@@ -380,15 +415,67 @@ def canonical_names(records: DataFrame) -> DataFrame:
     return own.groupBy().applyInPandas(_names, NAMES)
 
 
+_SCALARS = {"number": T.DoubleType(), "boolean": T.BooleanType(), "string": T.StringType(), "object": T.MapType(T.StringType(), T.StringType())}
+OTHER = "value"  # the member that holds elements that are no objects, in a list that has both
+
+
+def _types(kinds: dict[str, set[str]]) -> dict[str, T.DataType]:
+    """The merged type of each top-level canonical field; kinds has those of the members too."""
+    members: dict[str, list[str]] = defaultdict(list)
+    for path in sorted(kinds):
+        if "[]." in path:
+            members[path.partition("[].")[0]].append(path)
+
+    def type_of(path: str) -> T.DataType:
+        own = {k.removeprefix("list of ") for k in kinds[path]}
+        one = _SCALARS.get(next(iter(own)), T.StringType()) if len(own) == 1 else T.StringType()
+        if not any(k.startswith("list of ") for k in kinds[path]):
+            return one
+        if "object" in own and members[path]:
+            fields = {_leaf(m): type_of(m) for m in members[path]}
+            if len(own) > 1:
+                fields[_free(OTHER, set(fields))] = T.StringType()
+            return T.ArrayType(T.StructType([T.StructField(m, t) for m, t in fields.items()]))
+        return T.ArrayType(one)
+
+    return {p: type_of(p) for p in kinds if "[]." not in p}
+
+
+def _cast(own: Column, to: T.DataType, mixed: bool) -> Column:
+    """JSON text, or the bare text of a JSON string, as `to`. What stands alone is the only element of an array. mixed: some elements may be no objects."""
+    if isinstance(to, T.MapType):
+        return F.from_json(own, to)
+    if not isinstance(to, T.ArrayType):
+        return own.try_cast(to)
+    listed = own.rlike(r"^\s*\[")
+    inner = to.elementType
+    if not isinstance(inner, T.StructType):
+        alone = F.from_json(own, inner) if isinstance(inner, T.MapType) else own.try_cast(inner)
+        return F.coalesce(F.when(listed, F.from_json(own, to)), F.when(alone.isNotNull(), F.array(alone)))
+    if not mixed:
+        return F.from_json(F.when(listed, own).when(own.isNotNull(), F.concat(F.lit("["), own, F.lit("]"))), to)
+
+    def element(e: Column) -> Column:
+        told = F.from_json(e, T.StructType(inner.fields[:-1]))
+        other = ~e.rlike(r"^\s*\{")
+        return F.when(e.isNotNull(), F.struct(*(F.when(~other, told[f.name]).alias(f.name) for f in inner.fields[:-1]), F.when(other, e).alias(inner.fields[-1].name)))
+
+    texts = F.coalesce(F.when(listed, F.from_json(own, T.ArrayType(T.StringType()))), F.when(own.isNotNull(), F.array(own)))
+    return F.transform(texts, element)
+
+
 def consistent_table(records: DataFrame, key: str, names: DataFrame) -> DataFrame:
     """All records in one table: key, feed, file_no and a column for each canonical field.
 
-    A field whose values are all numbers, or all booleans, keeps that type; all others become text, with lists and objects
-    as JSON, in which members have their canonical names. names is canonical_names(), best materialised.
+    A column has the merged type of all its values: double, boolean or string, map<string, string> for objects, an array if any
+    value is a list (one that stands alone is the only element), an array of structs for lists of objects, whose members have
+    their canonical names and types; if some elements are no objects they are in a member `value`. Scalars of several kinds
+    become text. names is canonical_names(), best materialised.
     """
     tops = names.filter(~F.col("field").contains("[]."))
-    kinds = tops.groupBy("canonical").agg(F.array_distinct(F.flatten(F.collect_set("kinds"))).alias("kinds")).collect()  # one row for each column of the result
-    columns = {r.canonical: "double" if set(r.kinds) == {"number"} else "boolean" if set(r.kinds) == {"boolean"} else "string" for r in kinds}
+    kinds = names.groupBy("canonical").agg(F.array_distinct(F.flatten(F.collect_set("kinds"))).alias("kinds")).collect()  # one row for each column of the result and member
+    columns = _types({r.canonical: set(r.kinds) for r in kinds})
+    mixed = {r.canonical for r in kinds if len({k.removeprefix("list of ") for k in r.kinds}) > 1}
     member = F.regexp_extract("canonical", r"\[\]\.(.*)$", 1)
     inner = names.filter(F.col("field").contains("[].")).select("feed", "file_no", F.substring_index("field", "[].", 1).alias("field"), F.regexp_extract("field", r"\[\]\.(.*)$", 1).alias("old"), member.alias("new")).filter("old <> new")
     inside = inner.groupBy("feed", "file_no", "field").agg(F.map_from_entries(F.collect_list(F.struct("old", "new"))).alias("m")).groupBy("feed", "file_no").agg(F.map_from_entries(F.collect_list(F.struct("field", "m"))).alias("inside"))
@@ -411,11 +498,11 @@ def consistent_table(records: DataFrame, key: str, names: DataFrame) -> DataFram
     joined = parsed.join(maps, ["feed", "file_no"], "left")
     # two fields of one record may go to one column: the first that is not null holds
     entries = F.transform(F.filter(F.map_entries("own"), lambda e: e["value"].isNotNull()), lambda e: F.struct(F.coalesce(F.try_element_at("to", e["key"]), e["key"]).alias("key"), renamed(e).alias("value")))
-    held = joined.select(key, "feed", "file_no", entries.alias("entries"))
+    held = joined.select(key, "feed", "file_no", entries.alias("entries")).select(key, "feed", "file_no", F.col("entries.key").alias("fields"), F.col("entries.value").alias("values"))
     taken = {key, "feed", "file_no"}
 
-    def column(name: str, kind: str) -> Column:
-        own = F.get(F.filter("entries", lambda e: e["key"] == name), F.lit(0))["value"]
-        return own.try_cast(kind).alias(f"{name}_" if name in taken else name)
+    def column(name: str, kind: T.DataType) -> Column:
+        own = F.get("values", (F.array_position("fields", name) - 1).cast("int"))
+        return _cast(own, kind, name in mixed).alias(f"{name}_" if name in taken else name)
 
     return held.select(key, "feed", "file_no", *(column(c, t) for c, t in sorted(columns.items())))
