@@ -28,9 +28,17 @@ def modified(c: Column) -> Column:
 
 
 def verified(files: DataFrame, sums: DataFrame) -> DataFrame:
-    """files (path, content) with `valid`: whether the MD5 of the content is the one in the text of `path`.md5 (sums: path, content)."""
+    """files (path, content) with `valid`: whether the MD5 of the content is the one in the text of `path`.md5 (sums: path, content).
+
+    Contents come as binaryFile reads them, so a file has at most 2 GB.
+    """
     told = sums.select(F.regexp_replace("path", r"\.md5$", "").alias("path"), F.lower(F.regexp_extract(F.decode("content", "UTF-8"), r"\b([0-9a-fA-F]{32})\b", 1)).alias("expected"))
-    return files.join(told, "path", "left").withColumn("valid", F.md5("content").eqNullSafe(F.col("expected")))
+    # only paths and hashes are joined, then the few paths of the verdict meet the contents
+    verdict = files.select("path", F.md5("content").alias("md5")).join(told, "path", "left").select("path", "expected", F.col("md5").eqNullSafe(F.col("expected")).alias("valid"))
+    return files.join(verdict, "path")
+
+
+MEMBER_BYTES = 16 << 20  # members are handed on whenever they are together larger than this
 
 
 def members(content: bytes) -> Iterator[tuple[str, bytes]]:
@@ -53,11 +61,18 @@ def unzipped(archives: DataFrame) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for path, content in zip(batch["path"], batch["content"], strict=True):
+                held, size = [], 0
                 try:
                     for stem, own in members(bytes(content)):
-                        yield pd.DataFrame([(path, stem, own)], columns=["path", "archive_id", "content"])
+                        held.append((path, stem, own))
+                        size += len(own)
+                        if size > MEMBER_BYTES:
+                            yield pd.DataFrame(held, columns=["path", "archive_id", "content"])
+                            held, size = [], 0
                 except zipfile.BadZipFile:
-                    continue
+                    pass
+                if held:
+                    yield pd.DataFrame(held, columns=["path", "archive_id", "content"])
 
     return archives.select("path", "content").mapInPandas(run, "path string, archive_id string, content binary")
 

@@ -78,10 +78,10 @@ def test_pubmed_update(spark, tmp_path):
 def test_pmc_and_labels(spark):
     inventory = spark.createDataFrame([("k1", "e", True, None, "CC BY"), ("k2", "e", True, None, "cc-by-nc"), ("k3", None, True, None, None), ("k4", "e", None, None, None), ("k5", "e", None, True, "x")], "metadata_key string, etag string, is_pmc_openaccess boolean, is_manuscript boolean, license string")
     done = spark.createDataFrame([("k3",), (None,)], "key string")
-    fetched = spark.createDataFrame([("k1", "a.xml", bytearray(JATS)), ("k2", "b.xml", bytearray(JATS)), ("k3", "c", bytearray(JATS)), ("k5", "d", bytearray(b"<article/>"))], "metadata_key string, path string, content binary")
+    fetched = spark.createDataFrame([("k1", "a.xml", bytearray(JATS)), ("k2", "b.xml", bytearray(JATS)), ("k3", "c", bytearray(JATS)), ("k5", "d", bytearray(b"<article"))], "metadata_key string, path string, content binary")
     good, dead = pipelines.pmc_articles(inventory, done, fetched)
     assert [r.document_id for r in good.collect()] == ["pmid_5"]
-    assert {tuple(r) for r in dead.collect()} == {("pmc_oa:k2:e", "metadata filter", "metadata field license marks a non-commercial license (cc-by-nc)"), ("", "parse", "missing article-meta")}
+    assert {tuple(r) for r in dead.collect()} == {("pmc_oa:k2:e", "metadata filter", "metadata field license marks a non-commercial license (cc-by-nc)"), ("", "parse", "parse error: ParseError")}
     archives = spark.createDataFrame([("z", bytearray(_zip({"One.xml": SPL, "two.xml": SPL.replace(b"s-1", b"s-2"), "three.xml": b"<"})))], "path string, content binary")
     points = pipelines.label_points(archives, spark.createDataFrame([("two",)], "key string")).collect()
     assert {p.chunk_id for p in points} == {"s-1_warnings_part0", "s-1_warnings_table_0_part0", "s-1_highlights_part0"} and len(points[0].vector) == 64

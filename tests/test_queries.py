@@ -1,9 +1,9 @@
 import pytest
 
-from litloom.plans import ingest, training
+from litloom.plans import ingest, parsing, training
 
-SQL = ingest.SQL | training.SQL
-QUERIES = ingest.QUERIES | training.QUERIES
+SQL = ingest.SQL | parsing.SQL | training.SQL
+QUERIES = ingest.QUERIES | parsing.QUERIES | training.QUERIES
 
 
 @pytest.mark.parametrize("name", sorted(SQL))

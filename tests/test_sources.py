@@ -46,9 +46,13 @@ def test_jats(spark):
     assert (a["document_id"], a["title"], a["article_type"], a["license"], a["publication_date"]) == ("pmid_5", "On x", "research-article", "cc-by", "2020-02-03")
     assert [(s["type"], s["id"], s["content"]) for s in a["sections"]] == [("introduction", "intro", "Lead H 2 O"), ("methods", "sec1", "did"), ("case_report", "sec2", "z")]
     assert a["abstract"] == "Aim: to see" and a["keywords"] == ["k"] and a["mesh_terms"] == ["m"]
-    assert [(t["id"], t["location"]) for t in a["tables"]] == [("t1", "inline"), ("table-float-2", "float")]
+    assert [(t["id"], t["location"]) for t in a["tables"]] == [("t1", "inline"), ("table-float-2", "floating")]
     assert a["tables"][0]["content"] == "| a | b\\| |  |\n| :--- | :--- | :--- |\n| a | 1 | 2 |"
-    assert jats.parse(b"<article/>")["skip_reason"] == "missing article-meta" and jats.parse(b"<")["skip_reason"].startswith("parse error")
+    bare = jats.parse(b"<article/>", "PMC9")
+    assert (bare["document_id"], bare["title"], bare["has_full_text"], bare["skip_reason"]) == ("pmcid_PMC9", "Untitled PMC9", False, None)
+    wrapped = jats.parse(b"<pmc-articleset>" + JATS + b"</pmc-articleset>")
+    assert wrapped["document_id"] == "pmid_5" and len(wrapped["sections"]) == 3
+    assert jats.parse(b"<article/>")["skip_reason"] == "no identifier" and jats.parse(b"<")["skip_reason"].startswith("parse error")
     closed = JATS.replace(b"license-type=\"open-access\"", b"license-type=\"cc-by-nc\"")
     assert jats.parse(closed)["skip_reason"] == "non-commercial license" and jats.parse(closed, need_commercial=False)["license"] == "cc-by-nc"
     df = spark.createDataFrame([("a/x.nxml.gz", bytearray(gzip.compress(JATS))), ("b", bytearray(b""))], "path string, content binary")
@@ -62,6 +66,38 @@ SPL = b"""<document xmlns="urn:hl7-org:v3"><code code="34391-3" displayName="x"/
 <component><section><subject><manufacturedProduct><manufacturedProduct><name>Drug</name><ingredient classCode="ACTIB"><ingredientSubstance><name>act</name></ingredientSubstance></ingredient><ingredient classCode="IACT"><name>no</name></ingredient></manufacturedProduct></manufacturedProduct></subject></section></component></structuredBody></component></document>""" % (b"h" * 60)
 
 
+def test_jats_places_and_notes():
+    aff = lambda code, name: f"<aff><country country='{code}'>{name}</country></aff>" if code else f"<aff><country>{name}</country></aff>"
+    make = lambda inner: ET.fromstring(f"<article><front><article-meta>{inner}</article-meta></front></article>")
+    told = lambda inner: jats.country_of(r := make(inner), r.find(".//article-meta"))
+    assert told(f"<contrib-group><contrib>{aff('de', 'Germany')}</contrib></contrib-group><corresp><country country='fr'>France</country></corresp>") == ("FR", "France")
+    assert told(f"<contrib-group>{aff('', 'Peru')}</contrib-group>") == ("", "Peru")
+    assert told(f"<contrib-group>{aff('', 'Peru')}</contrib-group>{aff('', 'x')}{aff('us', 'USA')}") == ("US", "USA")
+    assert told("") == ("", "")
+    wrap = ET.fromstring("<table-wrap><caption><p>c<fn>no</fn></p></caption><table-wrap-foot><fn>a</fn><p>a</p><p>b</p></table-wrap-foot></table-wrap>")
+    assert jats.footnotes(wrap) == ["a", "b"] and jats.footnotes(ET.fromstring("<table-wrap><fn>x</fn></table-wrap>")) == []
+    ids = jats._ids(ET.fromstring("<m><article-id pub-id-type='other'>NIHMS7</article-id><article-id pub-id-type='nihms_id'>8</article-id></m>"))
+    assert ids["nihms_id"] == "8"
+    licence = lambda attr, words: jats.license_of(ET.fromstring(f"<m><permissions><license {attr}>{words}</license></permissions></m>"))
+    assert [licence("license-type='cc-by-nc'", ""), licence("href='http://x/by-nd/4.0'", "cc by"), licence("", "in the Public Domain"), licence("", "all rights")] == ["cc-by-nc", "cc-by-nd", "cc0", "unknown"]
+
+
+def test_spl_fallbacks():
+    body = lambda inner, head="": f"<document xmlns='urn:hl7-org:v3'><code code='34391-3'/><title>The title</title>{head}{inner}</document>".encode()
+    a = spl.parse(body("<section><code code='34071-1'/><text>x</text></section>"), "stem-1")
+    assert (a["set_id"], a["drug_name"], a["active_ingredients"]) == ("stem-1", "The title", [])
+    own = lambda inner: {s["key"]: s for s in spl.parse(body(inner))["sections"]}
+    table = "<table><tr><td>h</td></tr><tr><td>v</td></tr></table>"
+    deep = f"<section><code code='34071-1'/><text>x{table}</text><component><section><text>y</text><component><section><text>{table}</text></section></component></section></component></section>"
+    assert len(own(deep)["warnings"]["tables"]) == 1
+    twice = f"<section><code code='34071-1'/><text>a{table}</text></section><section><code code='34071-1'/><text>b{table}</text></section>"
+    assert [t["type"] for t in own(twice)["warnings"]["tables"]] == ["table_0", "table_0"] and own(twice)["warnings"]["text"].count("\n\n") == 1
+    elsewhere = f"<section><code code='0'/><text>z</text><excerpt><highlight><text>{'h' * 60}</text></highlight></excerpt></section>"
+    assert own(elsewhere) == {}
+    kinds = "".join(f"<ingredient classCode='{c}'><ingredientSubstance><name>{c}</name></ingredientSubstance></ingredient>" for c in ("ACTIB", "ACTIM", "ACTIR", "ACTIB"))
+    assert spl.parse(body("", kinds))["active_ingredients"] == ["ACTIB", "ACTIB"]
+
+
 def test_spl(spark):
     a = spl.parse(SPL)
     assert (a["status"], a["set_id"], a["drug_name"], a["active_ingredients"], a["manufacturer"]) == ("ok", "s-1", "Drug", ["act"], "Maker")
