@@ -183,6 +183,21 @@ def p1_groups(spark: SparkSession, folder: str) -> DataFrame:
     out = member.join(linked, "rep", "left").join(links, "rep", "left")
     return out.select(F.col("id").alias("record_no"), F.coalesce("component", "rep").alias("group_id"), F.col("rep").alias("class_id"), F.coalesce("links", F.lit(0)).alias("links"))
 
+_LABEL_SETS = """
+with recursive l as (select record_no, [drug_name, manufacturer] || list_transform(coalesce(sections, []), lambda s: s.text) as texts from dailymed_labels where len(list_filter(coalesce(sections, []), lambda s: regexp_matches(s.text, '\\S'))) > 0),
+t as (select record_no, unnest(list_transform(list_filter(texts, lambda t: t is not null), lambda t: regexp_extract_all(lower(t), '[a-z0-9]+'))) as w from l),
+g as (select distinct record_no, unnest(list_transform(range(1, len(w) - 1), lambda k: array_to_string(w[k:k + 2], ' '))) as s from t where len(w) > 2),
+z as (select record_no, count(*) as n, md5(string_agg(s, '|' order by s)) as h from g group by record_no),
+m as (select a.record_no as a, b.record_no as b, count(*) as met from g a join g b on a.s = b.s and a.record_no < b.record_no group by all),
+pairs as (select a, b from m join z x on x.record_no = a join z y on y.record_no = b where met >= 0.65 * (x.n + y.n - met))"""
+SQL["p1_found"] = f"{_LABEL_SETS} select a as record_no_a, b as record_no_b from pairs"
+SQL["p1_groups"] = f"""{_LABEL_SETS},
+c as (select record_no, min(record_no) over (partition by h) as class_id from z),
+e as (select distinct x.class_id as a, y.class_id as b from pairs join c x on x.record_no = pairs.a join c y on y.record_no = pairs.b where x.class_id <> y.class_id),
+two as (select a, b from e union select b, a from e),
+r as (select class_id as node, class_id as root from (select distinct class_id from c) union select two.b, r.root from r join two on two.a = r.node)
+select record_no, (select min(root) from r where node = class_id) as group_id, class_id, (select count(*) from two where two.a = class_id) as links from c"""
+
 
 # 8. Evaluation texts in training text
 
@@ -224,6 +239,16 @@ a as (select doc_id, unnest(list_transform(range(1, len(w) - 11), lambda k: arra
 b as (select item_id, unnest(list_transform(range(1, len(w) - 11), lambda k: array_to_string(w[k:k + 12], ' '))) as s from i where len(w) > 12)
 select distinct doc_id, item_id from a join b using (s)"""
 
+_RUNS = """
+with g as (select doc_id, regexp_extract_all(lower(text), '[a-z0-9]+') as w from documents),
+i as (select item_id, regexp_extract_all(lower(text), '[a-z0-9]+') as w from eval_items),
+a as (select doc_id, unnest(range(len(w) - 12)) as p, unnest(list_transform(range(1, len(w) - 11), lambda k: array_to_string(w[k:k + 12], ' '))) as s from g where len(w) > 12),
+b as (select item_id, unnest(range(len(w) - 12)) as q, unnest(list_transform(range(1, len(w) - 11), lambda k: array_to_string(w[k:k + 12], ' '))) as s from i where len(w) > 12),
+m as (select doc_id, item_id, p, q, p - q as shift, q - row_number() over (partition by doc_id, item_id, p - q order by q) as island from a join b using (s)),
+runs as (select doc_id, item_id, min(q)::int as item_start, min(p)::int as doc_start, (count(*) + 12)::int as words from m group by doc_id, item_id, shift, island)"""
+SQL["p8_passages"] = f"{_RUNS} select * from runs"
+SQL["p8_leaked_items"] = f"{_RUNS} select item_id, count(distinct doc_id) as documents, max(words) as longest from runs group by item_id"
+
 
 # 3. Text cut off by field limits
 
