@@ -85,7 +85,13 @@ def abstract_chunks(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("record_no", "chunk_id", "id", "chunk_index", "total_chunks", "page_content", "text_preview", "token_count", "section_id", "section_weight")
 
 
-@query()
+_LEAN = _sql_chunks("select record_no, pmid, title as own_title, journal, year, mesh_terms_flat as m, keywords_flat as k, publication_types_flat as p, concat('Title: ', coalesce(title, ''), chr(10), chr(10), 'Abstract: ', coalesce(abstract, '')) as _text from pubmed_articles where length(concat('Title: ', coalesce(title, ''), '  Abstract: ', coalesce(abstract, ''))) >= 50", 1536, 1344, "record_no, pmid, own_title, journal, year, m, k, p")
+_LEAN_ID = "trim(pmid) || case when total_chunks = 1 then '_abstract' else '_abstract_chunk_' || chunk_index end"
+
+
+@query(f"""with a as ({_LEAN})
+select record_no, case when pmid is not null then {_sql_uuid5(f"'pubmed:' || {_LEAN_ID}")} end as id, trim(pmid) as doc_id, {_LEAN_ID} as chunk_id, chunk_index, total_chunks, case when chunk_index = 0 then own_title else coalesce(own_title, '') || ' (cont.)' end as title, chunk_text as page_content, chunk_text as abstract,
+left(sha256(trim(pmid) || ':abstract'), 16) as section_id, greatest(0, round(1 - chunk_index * 0.05::double, 4)) as section_weight, case when chunk_index = 0 then m end as mesh_terms_flat, case when chunk_index = 0 then k end as keywords_flat, case when chunk_index = 0 then p end as publication_types_flat, journal, year from a""")
 def lean_projection(spark: SparkSession, folder: str) -> DataFrame:
     return chunks.abstract_chunks(table(spark, folder, "pubmed_articles"), lean=True)
 
@@ -132,7 +138,11 @@ def shard_route(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("record_no", ids.shard(token, 4).alias("shard"))
 
 
-@query()
+@query(f"""with recursive d as (select doc_id, doc_id // 10000 as block_no, coalesce((4 * len({_words('text')})) // 3, 0) as t, row_number() over (partition by doc_id // 10000 order by doc_id) as n from documents where doc_id is not null),
+g as (select doc_id, block_no, n, 0 as batch_no, 1 as held, t as used from d where n = 1
+  union all select d.doc_id, d.block_no, d.n, case when g.held >= 64 or g.used + d.t > 24000 then g.batch_no + 1 else g.batch_no end, case when g.held >= 64 or g.used + d.t > 24000 then 1 else g.held + 1 end, case when g.held >= 64 or g.used + d.t > 24000 then d.t else g.used + d.t end
+  from g join d on d.block_no = g.block_no and d.n = g.n + 1)
+select doc_id, block_no, batch_no from g""")
 def greedy_token_batches(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "documents").select("doc_id", texts.token_estimate(texts.tokens_of("text")).alias("tokens"))
     return batching.greedy_batches(rows, "doc_id", "tokens")
@@ -190,16 +200,16 @@ def evidence_hierarchy(spark: SparkSession, folder: str) -> DataFrame:
     return rows.groupBy("grade").agg(F.array_join(F.array_sort(F.collect_list("term")), "; ").alias("terms"), F.count("*").alias("n"))
 
 
-AFFILIATIONS = [
-    (1, ["Office of Research, National Cancer Institute, Bethesda, MD"], None), (2, ["National Institute of Allergy and Infectious Diseases"], ["Wellcome"]),
-    (3, ["Rockville, MD"], None), (4, ["VA Medical Center", "Walter Reed Hospital"], ["NIH HHS", None]), (5, None, ["Veterans Fund "]), (6, [], []), (7, ["CDC, Atlanta, GA", None], None),
-]
 
+_PHRASE = "case " + " ".join(f"when contains(lower(text), {_literal(p)}) then {_literal(a)}" for p, a in tables.AGENCY_PHRASES) + " end"
+_GRANT = " or ".join(f"contains(lower(source), {_literal(t)})" for t in tables.GRANT_TOKENS)
 
-@query("select * from (values (1, 'NCI'), (2, 'NIH'), (3, ''), (4, 'NIH HHS; VA; Walter Reed'), (5, 'Veterans Fund'), (6, ''), (7, 'CDC')) v(id, agencies)")
+
+@query(f"select doc_id, coalesce(array_to_string(list_sort(list_distinct(list_filter([{_PHRASE}, case when {_GRANT} then trim(source) end], lambda x: x is not null))), '; '), '') as agencies from documents")
 def gov_affiliation(spark: SparkSession, folder: str) -> DataFrame:
-    rows = _values(spark, AFFILIATIONS, "id int, affiliations array<string>, grants array<string>")
-    return rows.select("id", F.array_join(classify.agencies(F.col("affiliations"), F.col("grants")), "; ").alias("agencies"))
+    """Agencies named in any text, and sources that read like grants."""
+    rows = table(spark, folder, "documents")
+    return rows.select("doc_id", F.array_join(classify.agencies(F.array("text"), F.array("source")), "; ").alias("agencies"))
 
 
 _LICENSE = "case when contains(l, 'cc0') then 'cc0' when contains(l, 'by-nc') then 'cc-by-nc' when contains(l, 'by-sa') then 'cc-by-sa' when contains(l, 'by-nd') then 'cc-by-nd' when contains(l, 'cc by') or contains(l, 'cc-by') then 'cc-by' when contains(l, 'public domain') then 'cc0' else 'unknown' end"
@@ -353,10 +363,15 @@ def union_of_keys(spark: SparkSession, folder: str) -> DataFrame:
     return sink.union_of_keys(a, b)
 
 
-@query("select record_no, case when len(gov_agencies) > 0 then array_to_string(list_transform(gov_agencies, lambda x: coalesce(x, '~')), '|') end as agencies, year from pubmed_articles")
+@query("""select record_no, case when len(gov_agencies) > 0 then array_to_string(list_transform(gov_agencies, lambda x: coalesce(x, '~')), '|') end as agencies, year, case when journal_full is not null then journal_full.title end as journal_title,
+  case when len(mesh_terms) > 0 then len(mesh_terms)::int end as mesh_n, case when len(mesh_terms) > 0 then mesh_terms[1].descriptor end as first_mesh from pubmed_articles""")
 def coerce_payload(spark: SparkSession, folder: str) -> DataFrame:
+    """Payloads as the sink stores them; what became JSON text is read again."""
     rows = sink.coerced(table(spark, folder, "pubmed_articles").select("record_no", "gov_agencies", "mesh_terms", "journal_full", "year"))
-    return rows.select("record_no", F.array_join("gov_agencies", "|", "~").alias("agencies"), "year")
+    return rows.select(
+        "record_no", F.array_join("gov_agencies", "|", "~").alias("agencies"), "year", F.get_json_object("journal_full", "$.title").alias("journal_title"),
+        F.json_array_length("mesh_terms").alias("mesh_n"), F.get_json_object("mesh_terms", "$[0].descriptor").alias("first_mesh"),
+    )
 
 
 KINDS = [("a", ["bool"]), ("b", ["int"]), ("c", ["int", "float"]), ("d", ["list"]), ("e", []), ("f", ["int", "list"]), ("g", ["float"])]
@@ -378,7 +393,8 @@ def embed_documents(spark: SparkSession, folder: str) -> DataFrame:
     return embedded(table(spark, folder, "documents").select("doc_id", "text"), "text", "vector", hash_embedding()).select("doc_id", "vector")
 
 
-@query()
+@query(f"""with r as (select *, case when is_pmc_openaccess then 'pmc_oa' when is_manuscript then 'pmc_manuscript' end as source from pmc_inventory)
+select concat_ws(':', source, metadata_key, etag) as key, 'metadata filter' as stage, trim(regexp_replace(concat('metadata field license marks a non-commercial license (', license, ')'), '[ \t\n\x0B\f\r]+', ' ', 'g')) as reason from r where source = 'pmc_oa' and ({_MARKED})""")
 def dead_letters(spark: SparkSession, folder: str) -> DataFrame:
     """Inventory rows that are not fetched, with stage and reason."""
     rows = table(spark, folder, "pmc_inventory")

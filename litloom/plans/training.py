@@ -45,16 +45,12 @@ def p4_table(spark: SparkSession, folder: str) -> DataFrame:
 # 7. Deeply nested records
 
 
-def _warnings(pmc: DataFrame) -> DataFrame:
-    return nested.child_table(pmc, "record_no", nested.json_list(F.try_parse_json("extraction_metadata"), "$.warnings"), "warnings")
-
-
 @query
 def p7_found(spark: SparkSession, folder: str) -> DataFrame:
     """Each non-null child of the array levels that its SQL names, with the places that lead back to its parent; the other level of the JSON text is p7_parser_steps."""
     pmc, pubmed = table(spark, folder, "pmc_articles"), table(spark, folder, "pubmed_articles")
     content, mesh = nested.child_tables(pmc, "record_no", "content"), nested.child_tables(pubmed, "record_no", "mesh_terms")
-    named = [("section", content["content.sections"]), ("table", content["content.tables"]), ("footnote", content["content.tables.footnotes"]), ("mesh_term", mesh["mesh_terms"]), ("qualifier", mesh["mesh_terms.qualifiers"]), ("warning", _warnings(pmc))]
+    named = [("section", content["content.sections"]), ("table", content["content.tables"]), ("footnote", content["content.tables.footnotes"]), ("mesh_term", mesh["mesh_terms"]), ("qualifier", mesh["mesh_terms.qualifiers"]), ("warning", _metadata(spark, folder, "extraction_metadata.warnings"))]
     return reduce(DataFrame.unionByName, [nested.links(rows, kind) for kind, rows in named])
 
 
@@ -138,3 +134,9 @@ SQL["p7_found"] = " union all ".join(
     [f"select '{k}' as child_kind, record_no, parent_pos, child_pos from ({SQL[q]})" for k, q in (("section", "p7_sections"), ("table", "p7_tables"), ("footnote", "p7_footnotes"), ("mesh_term", "p7_mesh_terms"), ("qualifier", "p7_qualifiers"))]
     + [f"select 'warning', record_no, -1, p::int from ({_WARNING}) where json_type(x) <> 'NULL'"]
 )
+
+_LINKED = "record_no, record_no::varchar as parent_key, concat(record_no, '/extraction_metadata.{path}/', p) as row_key, -1 as parent_pos, p::int as child_pos"
+SQL["p7_warnings"] = f"""select {_LINKED.format(path='warnings')}, x->>'$.code' as code, try_cast(x->>'$.where.section' as bigint) as where_section,
+  try_cast(x->>'$.where.table.col' as bigint) as where_table_col, try_cast(x->>'$.where.table.row' as bigint) as where_table_row from ({_WARNING}) where json_type(x) <> 'NULL'"""
+SQL["p7_parser_steps"] = f"""select {_LINKED.format(path='parser.steps')}, try_cast(x->>'$.ms' as bigint) as ms, x->>'$.step' as step from (
+  {_WARNING.replace('$.warnings', '$.parser.steps')}) where json_type(x) <> 'NULL'"""

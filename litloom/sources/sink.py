@@ -17,7 +17,7 @@ def coerced(rows: DataFrame, weight: str = "section_weight") -> DataFrame:
         if f.name == weight:
             c = F.when(c.isNotNull(), F.coalesce(c.cast("string").try_cast("double"), F.lit(0.0)))
         elif isinstance(kind, (T.StructType, T.MapType)) or isinstance(kind, T.ArrayType) and isinstance(kind.elementType, (T.StructType, T.MapType, T.ArrayType)):
-            c = F.when(F.size(c) > 0, F.to_json(c)) if isinstance(kind, T.ArrayType) else F.to_json(c)
+            c = F.when(F.size(c) > 0, F.to_json(c, {"ignoreNullFields": "false"})) if isinstance(kind, T.ArrayType) else F.to_json(c, {"ignoreNullFields": "false"})
         elif isinstance(kind, T.ArrayType):
             c = F.when(F.size(c) > 0, c)
         out.append(c.alias(f.name))

@@ -98,3 +98,17 @@ def test_routes():
     assert r.pick(1) == 2 and r.pick(31) == 2
     r.failed(2, 31, limited=True)
     assert r.pick(32) == 1
+
+
+def test_agencies(spark):
+    from pyspark.sql import functions as F
+
+    from litloom.functions import classify
+
+    AFFILIATIONS = [
+        (1, ["Office of Research, National Cancer Institute, Bethesda, MD"], None), (2, ["National Institute of Allergy and Infectious Diseases"], ["Wellcome"]),
+        (3, ["Rockville, MD"], None), (4, ["VA Medical Center", "Walter Reed Hospital"], ["NIH HHS", None]), (5, None, ["Veterans Fund "]), (6, [], []), (7, ["CDC, Atlanta, GA", None], None),
+    ]
+    rows = spark.createDataFrame(AFFILIATIONS, "id int, affiliations array<string>, grants array<string>")
+    got = {r.id: r.agencies for r in rows.select("id", F.array_join(classify.agencies(F.col("affiliations"), F.col("grants")), "; ").alias("agencies")).collect()}
+    assert got == {1: "NCI", 2: "NIH", 3: "", 4: "NIH HHS; VA; Walter Reed", 5: "Veterans Fund", 6: "", 7: "CDC"}
