@@ -22,6 +22,20 @@ def test_runs(spark, name):
     assert queries.QUERIES[name](spark, DATA).count() >= 0
 
 
+def test_sealed_filters_stay(spark, tmp_path):
+    rows = lambda *ks: spark.createDataFrame([("f" if k != "z" else "g", n, k) for n, k in ks], "feed string, number long, key string")
+    first = seen.Sealed(spark, str(tmp_path / "s"), shards=3)
+    assert {tuple(r) for r in first.arrive(rows((1, "a"), (2, "b"), (3, "a"), (4, None), (5, "z"))).collect()} == {("f", 3)}
+    again = seen.Sealed(spark, str(tmp_path / "s"))
+    assert (again.generation, again.shards) == (1, 3)
+    assert {tuple(r) for r in again.arrive(rows((6, "b"), (7, "c"), (8, "c"), (9, "z"))).collect()} == {("f", 6), ("f", 8), ("g", 9)}
+    assert {tuple(r) for r in again.arrive(rows((10, "c"), (11, "d"))).collect()} == {("f", 10)}
+    assert again.arrive(rows((12, "q")).limit(0)).count() == 0
+    keys = seen._mix(np.arange(5000, dtype=np.uint64), 3)
+    f = seen.Ribbon.seal(keys, 12)
+    assert seen.Ribbon.from_bytes(f.to_bytes()).has(keys).all() and f.z.dtype == np.uint16
+
+
 # 1
 
 
@@ -158,6 +172,12 @@ def test_seen_equals_brute_force(spark):
     want = {(f, n) for f, n, k in rows if n is not None and k is not None and ((f, k) in before or n > first[f, k])}
     assert {tuple(r) for r in seen.seen_before(df).collect()} == want
     assert seen.wrong_rate(df, audit_keys=500).filter("wrong_answers > 0").count() == 0
+    many = df.sparkSession.range(40_000).selectExpr("'f' as feed", "id as number", "concat('k', id) as key")
+    told = seen.wrong_rate(many, bits=16, audit_keys=20_000).first()
+    # within five standard deviations of what the theory says, with 16 bits and with their lowest 10
+    assert abs(told.low_wrong - told.low_expected) < 5 * told.low_expected**0.5 and told.low_expected > 100
+    assert abs(told.wrong_answers - told.expected_rate * told.absent_probes) < 5 * (told.expected_rate * told.absent_probes) ** 0.5 + 5
+    assert told.wrong_rate <= told.wrong_rate_below and told.filter_bytes < 40_000 * 16 / 8 * 1.4
     assert seen.seen_before(df.limit(0)).count() == 0 and seen.wrong_rate(df.limit(0)).count() == 0
 
 
