@@ -20,15 +20,21 @@ from pyspark.sql import functions as F
 from litloom.runtime import bounded_sample, materialize, spread
 
 DIM = 1 << 16
-#: Marks that a sender puts where it has cut.
-MARK = re.compile(r"(?:\s*(?:\.\.\.|…|\[\.\.\.\]|\[…\]|\(\.\.\.\)|\(more\)|\(continued\)|\[truncated\]|&hellip;|>>))+\s*$", re.I)
-TOKEN = re.compile(r"\S+")
+#: Marks that a sender puts where it has cut. Fixed values.
+MARKS = ("...", "…", "[...]", "[...", "[…]", "(...)", "(more)", "(continued)", "[truncated]", "&hellip;", ">>")
 MADE = ("", "", "", "", "...", "…", " ...", " [...]", "\ufffd", "\ufffd")  # what the senders of made cases put there; U+FFFD is half a character
 _STRIP = ".,;:!?()[]{}<>\"'`|*#“”‘’…-–"
+_NUMERAL = re.compile(r"[\W_]*[0-9][0-9.,]*[\W_]*")
+_DIGITS, _LETTER = re.compile(r"[0-9]+"), re.compile(r"[^\W\d_]")
+_STOPS = re.compile(r".*[.!?]\s+", re.S)
 
 
 def unmarked(text: str) -> str:
-    return MARK.sub("", text.rstrip())
+    """The text without outer white space at its end and without all marks there."""
+    t = text.rstrip()
+    while t and (m := next((m for m in MARKS if t[-len(m) :].lower() == m), None)):
+        t = t[: -len(m)].rstrip()
+    return t
 
 
 def last_word(text: str) -> str:
@@ -37,51 +43,76 @@ def last_word(text: str) -> str:
     return found[-1].strip(_STRIP).lower() if found else ""
 
 
+BUCKETS = (("0", 0), ("1", 1), ("2", 2), ("5", 5), ("n", 50))  # in how many texts the last word occurs inside: names and least numbers
+
+
+def bucket(known: float) -> int:
+    return max(i for i, (_, least) in enumerate(BUCKETS) if known >= least)
+
+
+class Closing:
+    """How a text closes: what its features need, read from its end."""
+
+    def __init__(self, text: str):
+        t = unmarked(text)
+        at = t.rfind("\n") + 1
+        line = t[at:].strip()
+        few = line.split(None, 9)  # ten pieces at most: nine words and the rest
+        self.count = len(few)
+        self.last = line.rsplit(None, 3)[-3:] if self.count > 3 else few[-3:]
+        self.marked = len(t) < len(text.rstrip())
+        self.shape = _DIGITS.sub("9", _LETTER.sub("a", t[-4:]))
+        row = line.startswith("|")
+        self.kind = "bullet" if self.count <= 8 and re.match(r"[-*•] ", line) and not re.search(r"[.!?] ", line) else "row" if row else "head" if line.startswith("#") else "pair" if self.count <= 8 and re.match(r"[A-Z][\w ]{2,30}: \S", line) else "prose"
+        self.end = t[-1:] if not t[-1:].isalnum() else "a" if t[-1:].isalpha() else "9"
+        self.number = bool(self.last and _NUMERAL.fullmatch(self.last[-1])) if self.last else False
+        open_ = "".join(a for a, b in ("()", "[]") if line.count(a) > line.count(b))
+        if line.count('"') % 2:
+            open_ += '"'
+        if re.search(r"&#?\w{0,8}$", t[-10:]):
+            open_ += "&"
+        tag = t[t.rfind("<") :] if "<" in t else ""
+        if re.fullmatch(r"<[^<>]{0,40}", tag):
+            open_ += "<"
+        if re.match(r"<(\w+)>[^<]*$", tag):
+            open_ += "t"
+        self.open = open_
+        self.cells = "-"
+        if row:
+            first = next((x for x in t[:at].split("\n")[:-1] if x.strip().startswith("|")), None)
+            self.cells = "same" if first is None or line.count("|") == first.count("|") else "fewer"
+        # the last sentence of prose: what it begins with, and how many words it has
+        stop = _STOPS.match(line)
+        self.sentence = line[stop.end() if stop else 0 :].split(None, 4)
+        self.two = t[-2:]
+
+    def features(self, at_limit: int) -> list[list[int]]:
+        """Hashed binary features for each bucket of the last word. at_limit: 2 at the source's limit, 1 just below, 0 else."""
+        kind, end, limit = self.kind, self.end, str(at_limit)
+        words = [_DIGITS.sub("9", w.lower()) for w in self.last]
+        own = self.sentence
+        closing = _DIGITS.sub("9", (self.last[-1] if len(own) > 4 else own[-1])[-3:]) if end != "a" and own else ""
+        fixed = [
+            "bias", f"kind {kind}", f"end {kind} {end}", f"shape {kind} {self.shape}", f"open {self.open}", f"open {self.open} {end}", f"cells {self.cells} {end}", f"limit {limit}", f"limit {limit} {end}",
+            f"marked {self.marked} {end}", f"strange {any(ord(c) > 0xFFFC or c == chr(0xFFFD) for c in self.two)}",
+            f"starts {' '.join(_DIGITS.sub('9', w) for w in own[:2])} {end}" if kind == "pair" else f"number {words[-2] if self.number and len(words) > 1 else ''} {end}",
+            f"short {min(len(own), 4)} {end}", f"char {self.two[:1].isdigit() if len(self.two) > 1 else False}{end} {kind}", f"break {end} {closing}",
+        ]
+        same = [zlib.crc32(n.encode()) & (DIM - 1) for n in fixed]
+        out, done = [], {}
+        for name, least in BUCKETS:
+            seen = "number" if self.number else name
+            key = (seen, least >= 5)
+            if key not in done:
+                names = [f"seen {kind} {end} {seen}", f"last {kind} {words[-1] if words else ''}" if least >= 5 else f"last {kind} {end}", f"words {kind} {min(self.count, 5) if kind in ('bullet', 'pair') else ''} {seen}", f"limit {limit} {kind} {seen}"]
+                done[key] = same + [zlib.crc32(n.encode()) & (DIM - 1) for n in names]
+            out.append(done[key])
+        return out
+
+
 def features(text: str, known: float, at_limit: int) -> list[int]:
     """Hashed binary features. known: in how many texts the last word occurs inside; at_limit: 2 at the source's limit, 1 just below, 0 else."""
-    t = unmarked(text)
-    marked = len(t) < len(text.rstrip())
-    lines = t.split("\n")
-    line = lines[-1].strip()
-    ws = TOKEN.findall(line)
-    shape = re.sub(r"[0-9]+", "9", re.sub(r"[^\W\d_]", "a", t[-4:]))
-    bullet = bool(re.match(r"[-*•] ", line)) and len(ws) <= 8 and not re.search(r"[.!?] ", line)
-    row = line.startswith("|")
-    kind = "bullet" if bullet else "row" if row else "head" if line.startswith("#") else "pair" if len(ws) <= 8 and re.match(r"[A-Z][\w ]{2,30}: \S", line) else "prose"
-    end = t[-1:] if not t[-1:].isalnum() else "a" if t[-1:].isalpha() else "9"
-    seen = "0" if known < 1 else "1" if known < 2 else "2" if known < 5 else "5" if known < 50 else "n"
-    if re.fullmatch(r"[\W_]*[0-9][0-9.,]*[\W_]*", ws[-1] if ws else ""):
-        seen = "number"
-    open_ = ""
-    for a, b in ("()", "[]"):
-        if line.count(a) > line.count(b):
-            open_ += a
-    if line.count('"') % 2:
-        open_ += '"'
-    if re.search(r"&#?\w{0,8}$", t):
-        open_ += "&"
-    if re.search(r"<[^<>]{0,40}$", t):
-        open_ += "<"
-    if re.search(r"<(\w+)>[^<]*$", t):
-        open_ += "t"
-    cells = "-"
-    if row:
-        others = [x.count("|") for x in lines[:-1] if x.strip().startswith("|")]
-        cells = "same" if not others or line.count("|") == others[0] else "fewer"
-    # the last sentence of prose: what it begins with, and how many words it has
-    sentence = re.split(r"(?<=[.!?])\s+", line)[-1]
-    own = TOKEN.findall(sentence)
-    words = [re.sub(r"[0-9]+", "9", w.lower()) for w in ws[-3:]]
-    limit = str(at_limit)
-    names = [
-        "bias", f"kind {kind}", f"end {kind} {end}", f"shape {kind} {shape}", f"seen {kind} {end} {seen}", f"open {open_}", f"open {open_} {end}", f"cells {cells} {end}",
-        f"last {kind} {words[-1] if words else ''}" if known >= 5 else f"last {kind} {end}", f"words {kind} {min(len(ws), 5) if kind in ('bullet', 'pair') else ''} {seen}",
-        f"limit {limit}", f"limit {limit} {end}", f"limit {limit} {kind} {seen}", f"marked {marked} {end}", f"strange {any(ord(c) > 0xFFFC or c == chr(0xFFFD) for c in t[-2:])}",
-        f"starts {' '.join(re.sub('[0-9]+', '9', w) for w in own[:2])} {end}" if kind == "pair" else f"number {words[-2] if seen == 'number' and len(words) > 1 else ''} {end}",
-        f"short {min(len(own), 4)} {end}", f"char {t[-2:-1].isdigit()}{end} {kind}",
-        f"break {end} {re.sub('[0-9]+', '9', own[-1][-3:]) if end != 'a' and own else ''}",
-    ]
-    return [zlib.crc32(n.encode()) & (DIM - 1) for n in names]
+    return Closing(text).features(at_limit)[bucket(known)]
 
 
 def train(rows: list[list[int]], labels: np.ndarray, epochs: int = 12, rate: float = 0.25, decay: float = 1e-6, seed: int = 3) -> np.ndarray:
@@ -144,22 +175,14 @@ def _prepared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(out, columns=["id", "source", "n", "text", "word", "made"])
 
 
-def _tails(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The whole text decides its last word; only the closing lines go on to the model, which reads no more."""
-    for batch in batches:
-        text = batch["text"]
-        yield pd.DataFrame({"id": batch["id"], "source": batch["source"], "n": batch["n"], "text": text, "word": [last_word(t) for t in text], "made": 0})
-
-
 TAILS = "id long, source string, n int, text string, word string, made int"
 
 
 def inner_words(texts: DataFrame, text: str) -> DataFrame:
     """(word, texts): in how many distinct texts a word occurs before the last one."""
     split = F.split(F.lower(F.col(text)), r"\s+")
-    strip = "[" + re.escape(_STRIP) + "]+"
     inside = F.slice(split, 1, F.greatest(F.size(split) - 1, F.lit(0)))
-    each = texts.filter(F.col(text).isNotNull()).select(F.explode(F.array_distinct(F.transform(inside, lambda w: F.regexp_replace(w, f"^{strip}|{strip}$", "")))).alias("word"))
+    each = texts.filter(F.col(text).isNotNull()).select(F.explode(F.array_distinct(F.transform(inside, lambda w: F.btrim(w, F.lit(_STRIP))))).alias("word"))
     return each.filter("word <> ''").groupBy("word").agg(F.count("*").alias("texts"))
 
 
@@ -171,9 +194,10 @@ class Model:
         at = self.limit.get(source)
         return 0 if at is None or n < at - 3 or n > at + 3 else 2 if n >= at else 1
 
-    def score(self, text: str, source: str | None, n: int, known: float) -> float:
-        z = float(self.w[features(text, known, self.place(source, n))].sum())
-        return 1 / (1 + np.exp(-max(-30.0, min(30.0, z))))
+    def scores(self, text: str, source: str | None, n: int) -> list[float]:
+        """The log-odds that a text was cut off, for each bucket of its last word."""
+        at = np.array(Closing(text).features(self.place(source, n)))
+        return self.w[at].sum(axis=1, dtype=np.float64).tolist()
 
 
 def fit(texts: DataFrame, key: str, source: str, text: str, vocabulary: DataFrame, sample: int = 12_000) -> Model:
@@ -199,11 +223,13 @@ def fit(texts: DataFrame, key: str, source: str, text: str, vocabulary: DataFram
     return Model(w, model.limit, float((p[made_held] > 0.5).mean()) if made_held.any() else 0.0, int(own.sum()))
 
 
-def _scored(model: Model):
+def _told(model: Model):
+    """The end of a whole text decides its last word and its log-odds for each bucket; the text itself goes no further."""
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            p = [model.score(t, s, n, k) for t, s, n, k in zip(batch["text"], batch["source"], batch["n"], batch["known"], strict=True)]
-            yield pd.DataFrame({"id": batch["id"], "source": batch["source"], "n_chars": batch["n"], "score": p})
+            odds = [model.scores(t, s, n) for t, s, n in zip(batch["text"], batch["source"], batch["n"], strict=True)]
+            yield pd.DataFrame({"id": batch["id"], "source": batch["source"], "n_chars": batch["n"], "word": [last_word(t) for t in batch["text"]], "odds": odds})
 
     return run
 
@@ -216,5 +242,7 @@ def scored(texts: DataFrame, key: str, source: str, text: str, sample: int = 12_
     vocabulary = materialize(inner_words(texts, text), "words")
     model = fit(texts, key, source, text, vocabulary, sample)
     rows = texts.filter(F.length(F.trim(F.col(text))) > 0).select(F.col(key).cast("long").alias("id"), F.col(source).alias("source"), F.length(text).alias("n"), F.col(text).alias("text"))
-    known = spread(rows).mapInPandas(_tails, TAILS).join(vocabulary, "word", "left").select("id", "source", "n", "text", F.coalesce("texts", F.lit(0)).alias("known"))
-    return known.mapInPandas(_scored(model), "id long, source string, n_chars int, score double")
+    known = spread(rows).mapInPandas(_told(model), "id long, source string, n_chars int, word string, odds array<double>").join(vocabulary, "word", "left")
+    own = F.coalesce("texts", F.lit(0))
+    at = F.coalesce(*(F.when(own >= least, F.lit(i)) for i, (_, least) in reversed(list(enumerate(BUCKETS)))))
+    return known.select("id", "source", "n_chars", (1 / (1 + F.exp(-F.greatest(F.lit(-30.0), F.least(F.lit(30.0), F.get("odds", at)))))).alias("score"))
