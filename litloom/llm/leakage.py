@@ -1,64 +1,109 @@
 """Evaluation texts in training text: a distributed positional inverted index.
 
-The index has, for each block of documents and each term, the documents and positions of the term. A test text's
+The index has a row for each block of documents, with the documents and positions of each term in it. A test text's
 windows of `width` words are anchored at their rarest terms; the offset-adjusted lists of a window's two rarest terms
-are intersected block by block, and what survives is checked against the lists of all terms of the text. All work on
-a block is in one task, a block has a bounded number of documents, and no list of a term is ever gathered in one place.
+are intersected block by block, and what survives is checked against the lists of all terms of the text. A block has a
+bounded number of words, so matching is a pass over the index without a shuffle, and no list of a term is ever gathered
+in one place. Test texts are asked in batches of a bounded number of words.
 """
 
 from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from litloom.runtime import materialize, words
 
-POSTINGS = "block string, term string, docs array<long>, positions array<int>"
+INDEX = "block string, terms array<string>, counts array<int>, docs array<long>, positions array<int>"
+ITEM_WORDS = 1_000_000  # words of test texts that tasks hold at once
+Items = list[tuple[int, list[str]]]
 
 
-def _index(most_documents: int):
-    schema = pa.schema([("block", pa.string()), ("term", pa.string()), ("docs", pa.list_(pa.int64())), ("positions", pa.list_(pa.int32()))])
+def _index(most_words: int):
+    schema = pa.schema([("block", pa.string()), ("terms", pa.list_(pa.string())), ("counts", pa.list_(pa.int32())), ("docs", pa.list_(pa.int64())), ("positions", pa.list_(pa.int32()))])
+    one = lambda values: pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         part, n = TaskContext.get().partitionId(), 0
         for batch in batches:
-            for at in range(0, batch.num_rows, most_documents):
-                rows = batch.slice(at, most_documents)
-                lists = pa.concat_arrays([rows.column(1)])
-                offsets = lists.offsets.to_numpy() - lists.offsets.to_numpy()[0]
-                sizes = np.diff(offsets)
-                doc = np.repeat(rows.column(0).to_numpy(), sizes)
-                pos = np.arange(offsets[-1], dtype=np.int32) - np.repeat(offsets[:-1], sizes).astype(np.int32)
-                codes = lists.flatten().dictionary_encode()
+            lists = pa.concat_arrays([batch.column(1)])
+            own = np.diff(lists.offsets.to_numpy())
+            cut = np.flatnonzero(np.diff(np.cumsum(own) // most_words, prepend=0)).tolist()
+            for a, b in zip([0, *cut], [*cut, batch.num_rows], strict=True):
+                sizes = own[a:b]
+                if not sizes.sum():
+                    continue
+                starts = np.cumsum(sizes) - sizes
+                doc = np.repeat(batch.column(0).slice(a, b - a).to_numpy(), sizes)
+                pos = np.arange(sizes.sum(), dtype=np.int32) - np.repeat(starts, sizes).astype(np.int32)
+                codes = lists.slice(a, b - a).flatten().dictionary_encode()
                 ids = codes.indices.to_numpy()
                 order = np.argsort(ids, kind="stable")
-                edges = np.searchsorted(ids[order], np.arange(len(codes.dictionary) + 1)).astype(np.int32)
-                own = len(codes.dictionary)
-                yield pa.RecordBatch.from_arrays([pa.array([f"{part}-{n}"] * own, pa.string()), codes.dictionary, pa.ListArray.from_arrays(pa.array(edges), pa.array(doc[order], pa.int64())), pa.ListArray.from_arrays(pa.array(edges), pa.array(pos[order], pa.int32()))], schema=schema)
+                counts = np.bincount(ids, minlength=len(codes.dictionary)).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([pa.array([f"{part}-{n}"], pa.string()), one(codes.dictionary), one(pa.array(counts)), one(pa.array(doc[order], pa.int64())), one(pa.array(pos[order], pa.int32()))], schema=schema)
                 n += 1
 
     return run
 
 
-def build_index(documents: DataFrame, key: str, text: str, block: int = 1000) -> DataFrame:
-    """The positional index of all words of all documents; null texts have none. Each document lies in one block."""
+def build_index(documents: DataFrame, key: str, text: str, block: int = 300_000) -> DataFrame:
+    """The positional index of all words of all documents; null texts have none. Each document lies in one block of some `block` words, a longer one in a block of its own."""
     rows = documents.filter(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("id"), words(text).alias("words"))
-    return materialize(rows.mapInArrow(_index(block), POSTINGS), "index")
-
-
-def items_of(test: DataFrame, key: str, text: str) -> list[tuple[int, list[str]]]:
+    return materialize(rows.mapInArrow(_index(block), INDEX), "index")
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], codes: dict[str, int]) -> Iterator[tuple[list[int], list[np.ndarray], list[np.ndarray]]]:
+    """Of each block, for the terms asked for: their codes, and the documents and positions of each."""
+    asked = pa.array(sorted(codes), pa.string())
+    code_of = np.array([codes[t] for t in sorted(codes)], np.int64)
+    for batch in batches:
+        for i in range(batch.num_rows):
+            terms, counts, docs, positions = (batch.column(c)[i].values for c in range(1, 5))
+            found = pc.index_in(terms, value_set=asked)
+            own = np.flatnonzero(found.is_valid().to_numpy(zero_copy_only=False))
+            ends = np.cumsum(counts.to_numpy())
+            docs, positions = docs.to_numpy(), positions.to_numpy().astype(np.int64)
+            at = code_of[found.take(pa.array(own)).to_numpy().astype(np.int64)]
+            parts = [slice(ends[t] - counts[int(t)].as_py(), ends[t]) for t in own]
+            yield at.tolist(), [docs[p] for p in parts], [positions[p] for p in parts]
+
+
+def _frequency(index: DataFrame, items: Items) -> dict[str, int]:
+    """How often the terms of a batch of test texts occur in all documents."""
+    vocabulary = index.sparkSession.createDataFrame([(t,) for t in sorted({w for _, ws in items for w in ws})], "term string")
+    each = index.select(F.explode(F.arrays_zip("terms", "counts")).alias("x")).select(F.col("x.terms").alias("term"), F.col("x.counts").alias("n"))
+    # a batch has at most ITEM_WORDS words, so its vocabulary is bounded
+    return {r.term: r.n for r in each.join(F.broadcast(vocabulary), "term", "left_semi").groupBy("term").agg(F.sum("n").alias("n")).collect()}
+
+
+def _batched(items: Items) -> list[Items]:
+    """The test texts in batches of at most ITEM_WORDS words, a longer text by itself."""
+    out: list[Items] = [[]]
+    held = 0
+    for item in items:
+        if out[-1] and held + len(item[1]) > ITEM_WORDS:
+            out.append([])
+            held = 0
+        out[-1].append(item)
+        held += len(item[1])
+    return out
+
+
+def items_of(test: DataFrame, key: str, text: str) -> Items:
     """The words of the test texts: a fixed set, held by the driver and sent to every task."""
     return [(r.id, r.words) for r in test.filter(F.col(key).isNotNull()).select(F.col(key).alias("id"), words(text).alias("words")).collect()]
 
 
-def _plan(items: list[tuple[int, list[str]]], frequency: dict[str, int], width: int) -> tuple[list[tuple[int, np.ndarray]], list[dict[tuple[int, int], bool]], dict[str, list[tuple[int, int]]]]:
+def _plan(items: Items, frequency: dict[str, int], width: int) -> tuple[list[tuple[int, np.ndarray]], list[dict[tuple[int, int], bool]], dict[str, list[tuple[int, int]]]]:
     """Term codes of each item; its pairs of anchor positions; for each term its anchors (item, position)."""
     codes = {t: i for i, t in enumerate(sorted(frequency))}
     texts = [(key, np.array([codes.get(w, -1) for w in ws], np.int32)) for key, ws in items]
@@ -83,16 +128,15 @@ MATCHES = "doc_id long, item_id long, item_start int, doc_start int, words int"
 def _matches(texts: list, pairs: list, anchors: dict, codes: dict[str, int], width: int):
     schema = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("item_start", pa.int32()), ("doc_start", pa.int32()), ("words", pa.int32())])
 
-    def run(table: pa.Table) -> pa.Table:
-        terms = table.column("term").to_pylist()
-        docs = [np.asarray(x, np.int64) for x in table.column("docs").combine_chunks().to_numpy(zero_copy_only=False)] if terms else []
-        positions = [np.asarray(x, np.int64) for x in table.column("positions").combine_chunks().to_numpy(zero_copy_only=False)] if terms else []
+    names = {c: t for t, c in codes.items()}
+
+    def one(terms: list[int], docs: list[np.ndarray], positions: list[np.ndarray]) -> pa.RecordBatch:
         every = np.unique(np.concatenate(docs)) if docs else np.zeros(0, np.int64)
         local = [np.searchsorted(every, d) for d in docs]
         # offset-adjusted lists of the anchors: item, document, document position less item position
         item, doc, delta, place = [], [], [], []
         for t, d, p in zip(terms, local, positions, strict=True):
-            for k, i in anchors.get(t, ()):
+            for k, i in anchors.get(names[t], ()):
                 item.append(np.full(len(d), k, np.int32))
                 doc.append(d.astype(np.int32))
                 delta.append((p - i).astype(np.int32))
@@ -118,7 +162,7 @@ def _matches(texts: list, pairs: list, anchors: dict, codes: dict[str, int], wid
                 for t, d, p in zip(terms, local, positions, strict=True):
                     keep = wanted[d]
                     for x, y in zip(d[keep].tolist(), p[keep].tolist(), strict=True):
-                        forward[x].append((y, codes[t]))
+                        forward[x].append((y, t))
                 arrays = {}
                 for x, own in forward.items():
                     arrays[x] = np.full(max(y for y, _ in own) + 1, -2, np.int32)
@@ -132,29 +176,28 @@ def _matches(texts: list, pairs: list, anchors: dict, codes: dict[str, int], wid
                     for a, b in zip(change[::2], change[1::2], strict=True):
                         if b - a >= width:
                             out.append((int(every[d]), texts[k][0], low + int(a), low + int(a) + shift, int(b - a)))
-        return pa.table([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True) if out else [[]] * 5, schema, strict=True)], schema=schema)
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True) if out else [[]] * 5, schema, strict=True)], schema=schema)
 
-    return run
+    return lambda batches: (one(*block) for block in _blocks(batches, codes))
 
 
-def phrase_matches(index: DataFrame, items: list[tuple[int, list[str]]], width: int = 13) -> DataFrame:
+def phrase_matches(index: DataFrame, items: Items, width: int = 13) -> DataFrame:
     """(doc_id, item_id, item_start, doc_start, words): each maximal run of at least `width` words common to a document and a test text.
 
     Items shorter than `width` words have no window and match nothing; repeated documents and items are all reported.
     """
     if width < 2:
         raise ValueError("a passage has at least two words")
-    spark = index.sparkSession
-    vocabulary = spark.createDataFrame([(t,) for t in sorted({w for _, ws in items for w in ws})], "term string")
-    # the vocabulary of a fixed set of items; the lists themselves are never broadcast
-    wanted = index.join(F.broadcast(vocabulary), "term", "left_semi")
-    frequency = {r.term: r.n for r in wanted.groupBy("term").agg(F.sum(F.size("docs")).alias("n")).collect()}
-    texts, pairs, anchors = _plan(items, frequency, width)
-    codes = {t: i for i, t in enumerate(sorted(frequency))}
-    return wanted.groupBy("block").applyInArrow(_matches(texts, pairs, anchors, codes, width), MATCHES)
+    out = []
+    for part in _batched(items):
+        frequency = _frequency(index, part)
+        texts, pairs, anchors = _plan(part, frequency, width)
+        codes = {t: i for i, t in enumerate(sorted(frequency))}
+        out.append(index.mapInArrow(_matches(texts, pairs, anchors, codes, width), MATCHES))
+    return reduce(DataFrame.unionByName, out)
 
 
-def _queries(items: list[tuple[int, list[str]]], frequency: dict[str, int], codes: dict[str, int], terms: int, share: float, span: int, width: int, sizes: int = 4) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _queries(items: Items, frequency: dict[str, int], codes: dict[str, int], terms: int, share: float, span: int, width: int, sizes: int = 4) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The different proximity queries of all windows: item, codes of the rarest terms (one beyond the last code for none), number of terms that must be met.
 
     A term that no document has counts as one of the window's terms, though it can't be met.
@@ -179,13 +222,11 @@ def _near(keys: list[int], queries: tuple[np.ndarray, np.ndarray, np.ndarray], c
     schema = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("found", pa.int64())])
     owner, wanted, need = queries
 
-    def run(table: pa.Table) -> pa.Table:
-        terms = table.column("term").to_pylist()
-        lists = [np.asarray(x, np.int64) for x in table.column("docs").combine_chunks().to_numpy(zero_copy_only=False)] if terms else []
+    def one(terms: list[int], lists: list[np.ndarray], positions: list[np.ndarray]) -> pa.RecordBatch:
         best: dict[tuple[int, int], int] = {}
         if terms and len(owner):
-            doc, pos = np.concatenate(lists), np.concatenate([np.asarray(x, np.int64) for x in table.column("positions").combine_chunks().to_numpy(zero_copy_only=False)])
-            term = np.repeat(np.array([codes[t] for t in terms], np.int64), [len(x) for x in lists])
+            doc, pos = np.concatenate(lists), np.concatenate(positions)
+            term = np.repeat(np.array(terms, np.int64), [len(x) for x in lists])
             # a unit is a piece of a document with the span before it: each stretch lies whole in the unit where it ends
             again = (pos + span - 1) // piece - pos // piece
             turn = np.arange(again.sum() + len(again)) - np.repeat(np.cumsum(again + 1) - again - 1, again + 1)
@@ -230,12 +271,12 @@ def _near(keys: list[int], queries: tuple[np.ndarray, np.ndarray, np.ndarray], c
                             pair = int(doc[a]), keys[owner[some[i]]]
                             best[pair] = max(best.get(pair, 0), int(most[i]))
         out = [(*k, n) for k, n in best.items()]
-        return pa.table([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True) if out else [[]] * 3, schema, strict=True)], schema=schema)
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True) if out else [[]] * 3, schema, strict=True)], schema=schema)
 
-    return run
+    return lambda batches: (one(*block) for block in _blocks(batches, codes))
 
 
-def proximity(index: DataFrame, items: list[tuple[int, list[str]]], terms: int = 8, share: float = 0.75, span: int = 40, width: int = 13) -> DataFrame:
+def proximity(index: DataFrame, items: Items, terms: int = 8, share: float = 0.75, span: int = 40, width: int = 13) -> DataFrame:
     """(doc_id, item_id, found): documents that have, inside one stretch of `span` words and in any order, enough of the `terms` rarest terms of some window of a test text.
 
     Each stretch of a test text with `width` to `span` words, in four lengths, is a window with its own rarest terms; a shorter
@@ -245,10 +286,11 @@ def proximity(index: DataFrame, items: list[tuple[int, list[str]]], terms: int =
     """
     if not 0 < terms < 256:
         raise ValueError("a window has 1 to 255 terms")
-    spark = index.sparkSession
-    vocabulary = spark.createDataFrame([(t,) for t in sorted({w for _, ws in items for w in ws})], "term string")
-    wanted = index.join(F.broadcast(vocabulary), "term", "left_semi")
-    frequency = {r.term: r.n for r in wanted.groupBy("term").agg(F.sum(F.size("docs")).alias("n")).collect()}
-    codes = {t: i for i, t in enumerate(sorted(frequency))}
-    queries = _queries(items, frequency, codes, terms, share, span, min(width, span))
-    return wanted.groupBy("block").applyInArrow(_near([k for k, _ in items], queries, codes, span), NEAR).groupBy("doc_id", "item_id").agg(F.max("found").alias("found"))
+    out = []
+    for part in _batched(items):
+        frequency = _frequency(index, part)
+        codes = {t: i for i, t in enumerate(sorted(frequency))}
+        queries = _queries(part, frequency, codes, terms, share, span, min(width, span))
+        out.append(index.mapInArrow(_near([k for k, _ in part], queries, codes, span), NEAR))
+    # a document lies in one block, but each piece of a batch of items tells its best
+    return reduce(DataFrame.unionByName, out).groupBy("doc_id", "item_id").agg(F.max("found").alias("found"))

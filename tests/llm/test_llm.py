@@ -212,7 +212,7 @@ def test_burst_trie(words):
 # 8
 
 
-def test_phrases_equal_brute_force(spark):
+def test_phrases_equal_brute_force(spark, monkeypatch):
     rng = random.Random(8)
     w = lambda n: [rng.choice("abcdefgh") + str(rng.randrange(4)) for _ in range(n)]
     items = [(i, w(rng.choice([4, 12, 13, 30]))) for i in range(12)]
@@ -233,6 +233,11 @@ def test_phrases_equal_brute_force(spark):
         got = leakage.phrase_matches(index, leakage.items_of(items_df, "i", "t"), width)
         assert {(r.doc_id, r.item_id) for r in got.collect()} == want
     assert leakage.phrase_matches(index, []).count() == 0
+    whole = {tuple(r) for r in leakage.phrase_matches(index, leakage.items_of(items_df, "i", "t"), 5).collect()}
+    monkeypatch.setattr(leakage, "ITEM_WORDS", 30)
+    assert len(leakage._batched(leakage.items_of(items_df, "i", "t"))) > 1
+    assert {tuple(r) for r in leakage.phrase_matches(index, leakage.items_of(items_df, "i", "t"), 5).collect()} == whole
+    monkeypatch.undo()
     assert leakage.proximity(index, leakage.items_of(items_df, "i", "t"), terms=4, share=1.0, span=30).count() > 0
 
 
