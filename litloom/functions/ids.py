@@ -27,6 +27,11 @@ def checkpoint_key(space: str, *parts: Column) -> Column:
     return F.concat_ws(":", F.lit(space), *(F.trim(p) for p in parts))
 
 
+def checkpoint_key_of(source: Column, name: Column, etag: Column) -> Column:
+    """The key of an inventory row: source, name and etag, which may be empty."""
+    return F.concat_ws(":", source, name, F.coalesce(etag, F.lit("")))
+
+
 def shard(token: Column, shards: int) -> Column:
     """The shard of a token: the first 8 bytes of its BLAKE2b digest, big-endian, modulo the number of shards."""
     if shards <= 1:

@@ -42,3 +42,27 @@ def label_chunks(labels: DataFrame, size: int = 1536, stride: int = 1344) -> Dat
     rows = chunked(prose.unionByName(tabular), "_text", size, stride)
     where = F.concat_ws("_", "set_id", "section", F.when(F.col("table_pos") >= 0, F.concat(F.lit("table_"), F.col("table_pos").cast("string"))), F.concat(F.lit("part"), F.col("chunk_index").cast("string")))
     return rows.select("record_no", where.alias("chunk_id"), ids.uuid5(F.concat(F.lit("dailymed:"), where)).alias("id"), "section", "section_pos", "table_pos", (F.col("table_pos") >= 0).cast("int").alias("is_table"), "chunk_index", "total_chunks", F.col("chunk_text").alias("page_content"), "token_count", F.col("_weight").alias("section_weight"))
+
+
+def article_chunks(articles: DataFrame, size: int = 1536, stride: int = 1344) -> DataFrame:
+    """One row for each chunk of a full-text article (document_id, title, abstract, journal, year, sections, tables).
+
+    The abstract comes first, then the sections that are not left out (see classify.is_left_out), then the tables with their
+    captions; texts under 50 characters give none. An article without any of these gives no rows.
+    """
+    head = lambda *tail: F.concat(F.lit("# "), F.coalesce("title", F.lit("")), *tail)
+    part = lambda kind, title, ident, text, table: F.struct(kind.alias("kind"), F.coalesce(title, F.lit("")).alias("section_title"), ident.alias("ident"), text.alias("text"), F.lit(table).alias("is_table"))
+    abstract = F.array(part(F.lit("abstract"), F.lit("Abstract"), F.lit("abstract"), F.coalesce("abstract", F.lit("")), 0))
+    none = F.array().cast("array<struct<kind:string,section_title:string,ident:string,text:string,is_table:int>>")
+    prose = F.transform(F.filter("sections", lambda s: s.isNotNull() & ~F.coalesce(classify.is_left_out(s["type"], s["title"]), F.lit(False))), lambda s: part(s["type"], s["title"], s["id"], F.coalesce(s["content"], F.lit("")), 0))
+    caption = lambda t: F.concat_ws(" ", F.nullif(t["label"], F.lit("")), F.nullif(t["caption_title"], F.lit("")), F.nullif(t["caption_text"], F.lit("")))
+    tabular = F.transform(F.filter("tables", lambda t: t.isNotNull() & (F.length(t["content"]) > 0)), lambda t: part(F.lit("table"), caption(t), t["id"], F.concat(caption(t), F.lit("\n\n"), t["content"]), 1))
+    parts = F.concat(abstract, F.coalesce(prose, none), F.coalesce(tabular, none))
+    each = articles.select("document_id", "title", "journal", "year", F.posexplode(parts).alias("section_pos", "p")).filter(F.length("p.text") >= 50)
+    rows = chunked(each.withColumn("_text", head(F.lit(" - "), F.col("p.section_title"), F.lit("\n\n"), F.col("p.text"))), "_text", size, stride)
+    where = F.concat_ws("_", "document_id", F.col("section_pos").cast("string"), F.coalesce("p.ident", F.lit("")), F.concat(F.lit("part"), F.col("chunk_index").cast("string")))
+    return rows.select(
+        ids.uuid5(F.concat(F.lit("pmc:"), where)).alias("id"), F.col("document_id").alias("doc_id"), where.alias("chunk_id"), "title", "journal", "year", F.col("p.kind").alias("section_type"), F.col("p.section_title").alias("section_title"),
+        ids.section_id(F.col("document_id"), F.col("p.section_title")).alias("section_id"), (F.col("p.is_table") == 1).alias("is_table"), "chunk_index", "total_chunks", F.col("chunk_text").alias("page_content"), "token_count",
+        F.when(F.col("p.is_table") == 1, F.lit(0.75)).otherwise(classify.weight(F.col("p.kind"))).alias("section_weight"),
+    )

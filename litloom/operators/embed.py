@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import time
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
@@ -10,6 +11,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
+from litloom.sources.writer import RateLimiter, retryable
+
 Provider = Callable[[list[str]], list[list[float]]]
 
 
@@ -29,18 +32,32 @@ def hash_embedding(size: int = 64) -> Provider:
     return embed
 
 
-def embedded(rows: DataFrame, text: str, vector: str, provider: Provider, batch: int = 64, attempts: int = 3) -> DataFrame:
-    """rows with a vector for each text, in requests of `batch`; a request that fails is tried again, then the task fails."""
+def asked(provider: Provider, attempts: int = 3, sleep: Callable[[float], None] = time.sleep) -> Provider:
+    """The provider, asked again after a growing pause where that may help: after too many requests, server errors and broken connections.
+
+    An error may say how long to wait (retry_after, seconds). Other errors are raised at once.
+    """
 
     def ask(texts: list[str]) -> list[list[float]]:
-        for n in range(attempts):
+        for n in range(1, attempts + 1):
             try:
                 return provider(texts)
-            except Exception:
-                if n == attempts - 1:
+            except Exception as e:
+                if n == attempts or not retryable(e):
                     raise
+                limited = "429" in str(e) or "too many requests" in str(e).lower()
+                grow = 2.0 ** (n - 1)
+                told = getattr(e, "retry_after", None)
+                sleep(max(0.0, float(told)) if told is not None else min(2 * grow, 30.0) if limited else min(grow, 8.0))
         raise AssertionError
 
+    return ask
+
+
+def embedded(rows: DataFrame, text: str, vector: str, provider: Provider, batch: int = 64, attempts: int = 3) -> DataFrame:
+    """rows with a vector for each text, in requests of `batch`, asked as in asked(); a request that fails for good fails the task."""
+    ask = asked(provider, attempts)
+
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
             found: list[list[float]] = []
@@ -87,3 +104,37 @@ class Routes:
         self.failures[i] = self.failures[i] + 1 if server else 0
         if limited or self.failures[i] >= 2:
             self.until[i] = now + self.rest
+
+
+def routed(providers: list[Provider], models: list[str], rest: float = 30.0, per_second: int = 0, clock: Callable[[], float] = time.monotonic, sleep: Callable[[float], None] = time.sleep) -> Provider:
+    """One provider over several routes: each request goes to the route that Routes picks, and from a failing route to the next.
+
+    per_second: at most so many requests in any second, 0 for no limit. Each task has its own routes and its own limit.
+    """
+    routes = Routes(models, rest)
+    limiter = RateLimiter(per_second, 1.0, clock, sleep) if per_second else None
+
+    def ask(texts: list[str]) -> list[list[float]]:
+        error: Exception | None = None
+        for _ in range(2 * len(providers)):
+            i = routes.pick(clock())
+            if i is None:
+                sleep(max(0.0, min(routes.until) - clock()))
+                i = routes.pick(clock())
+            if i is None:
+                break
+            if limiter:
+                limiter.acquire()
+            try:
+                found = providers[i](texts)
+            except Exception as e:
+                text, error = str(e).lower(), e
+                if not retryable(e):
+                    raise
+                routes.failed(i, clock(), server=any(c in text for c in ("500", "502", "503", "504")), limited="429" in text or "too many requests" in text)
+            else:
+                routes.succeeded(i)
+                return found
+        raise error or RuntimeError("no route is awake")
+
+    return ask

@@ -193,11 +193,13 @@ def parse(content: bytes, name: str = "", need_pmid: bool = False, need_open: bo
     }
 
 
-def read(files: DataFrame, **switches) -> DataFrame:
-    """Articles of binary files (path, content), skipped ones included with their reason."""
+def read(files: DataFrame, carry: str | None = None, **switches) -> DataFrame:
+    """Articles of binary files (path, content), skipped ones included with their reason. carry: a string column of files to keep."""
+    own = ["path", *([carry] if carry else [])]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame([parse(bytes(content), re.sub(r"(?i)\.n?xml(\.gz)?$", "", path.rpartition("/")[2]), **switches) | {"path": path} for path, content in zip(batch["path"], batch["content"], strict=True)])
+            kept = batch[own].to_dict("records")
+            yield pd.DataFrame([parse(bytes(content), re.sub(r"(?i)\.n?xml(\.gz)?$", "", k["path"].rpartition("/")[2]), **switches) | k for k, content in zip(kept, batch["content"], strict=True)])
 
-    return files.select("path", "content").mapInPandas(run, ARTICLE)
+    return files.select(*own, "content").mapInPandas(run, f"{carry} string, {ARTICLE}" if carry else ARTICLE)

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from litloom.runtime import drop, materialize
+
 
 def coerced(rows: DataFrame, weight: str = "section_weight") -> DataFrame:
     """Payload columns as a sink stores them: empty lists become null, structs, maps and lists of these become JSON text; the weight is a double, 0 if it is none."""
@@ -43,36 +46,132 @@ def checked_vectors(rows: DataFrame, vector: str, size: int) -> DataFrame:
     return rows.withColumn("vector_ok", F.coalesce((F.size(vector) == size) & ~F.exists(vector, lambda x: x.isNull() | F.isnan(x)), F.lit(False)))
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+# Columns whose type a sink fixes by name. Fixed values.
+_NAMED_TYPES = {
+    **dict.fromkeys(("year", "evidence_level", "chunk_index", "total_chunks", "table_count", "token_count"), "int"),
+    **dict.fromkeys(("section_weight", "ingestion_timestamp"), "float"),
+    **dict.fromkeys(("is_table", "is_author_manuscript", "has_full_text", "is_open_access", "has_tables", "is_gov_affiliated", "has_structured_abstract"), "bool"),
+    **dict.fromkeys(("keywords", "mesh_terms", "publication_type", "active_ingredients", "gov_agencies"), "[]string"),
+}
+_UNFILTERED = ("abstract_structured", "mesh_terms_full", "keywords_full", "publication_types_full", "journal_full", "publication_date", "other_ids", "abstract", "full_section_text", "text_preview", "journal", "section_title", "section_id", "table_caption")
+_SEARCHED = {
+    "page_content": {"type": "string", "full_text_search": {"tokenizer": "word_v3", "language": "english", "stemming": True, "remove_stopwords": True}, "filterable": False},
+    "title": {"type": "string", "full_text_search": True, "filterable": False},
+    "drug_name": {"type": "string", "full_text_search": True, "filterable": True},
+}
+_SPARK_TYPES = {T.BooleanType: "bool", T.ByteType: "int", T.ShortType: "int", T.IntegerType: "int", T.LongType: "int", T.FloatType: "float", T.DoubleType: "float", T.DecimalType: "float"}
+
+
+def schema_by_name(columns: T.StructType, vector_size: int = 1024) -> dict[str, object]:
+    """What a service is told of each column: by its name where that says it, else by its Spark type; other types are strings."""
+    out: dict[str, object] = {}
+    for f in columns.fields:
+        kind = f.dataType
+        if f.name == "id":
+            out[f.name] = "uuid"
+        elif f.name == "vector":
+            out[f.name] = {"type": f"[{vector_size}]f16", "ann": True}
+        elif f.name in _SEARCHED:
+            out[f.name] = _SEARCHED[f.name]
+        elif f.name in _UNFILTERED:
+            out[f.name] = {"type": "string", "filterable": False}
+        else:
+            out[f.name] = _NAMED_TYPES.get(f.name) or ("[]string" if isinstance(kind, T.ArrayType) else _SPARK_TYPES.get(type(kind), "string"))
+    return out
 
 
 class Table:
-    """A Parquet table in versions, keyed by id. An upsert writes the next version and then moves the pointer, so a lost executor or driver leaves the last one whole."""
+    """A Parquet table keyed by id, cut into shards by the hash of the key.
 
-    def __init__(self, spark: SparkSession, folder: str, key: str = "id", shards: int = 1):
-        self.spark, self.folder, self.key, self.shards = spark, folder.rstrip("/"), key, shards
+    An upsert writes new files for the shards it touches, then a manifest that names the files of all shards. A manifest is
+    written under another name and renamed, and a rename over an existing one fails: so readers see the old table or the new
+    one, a crash leaves the old one whole, and of two upserts at once the second fails. Files that no manifest of the last
+    `keep` names are deleted by vacuum(). A table's number of shards is that of its first upsert.
+    """
 
-    def _current(self) -> str | None:
-        pointer = f"{self.folder}/current"
-        return self.spark.read.text(pointer).first()[0] if _exists(self.spark, pointer) else None
+    def __init__(self, spark: SparkSession, folder: str, key: str = "id", shards: int = 1):
+        self.spark, self.folder, self.key, self.shards = spark, folder.rstrip("/"), key, max(1, shards)
+        jvm = spark._jvm
+        self._path = jvm.org.apache.hadoop.fs.Path
+        self._fs = self._path(self.folder).getFileSystem(spark._jsc.hadoopConfiguration())
+        held = self._manifest()
+        if held:
+            self.shards = held["shards"]
+
+    def _names(self, folder: str) -> list[str]:
+        at = self._path(f"{self.folder}/{folder}")
+        return sorted(f.getPath().getName() for f in self._fs.listStatus(at)) if self._fs.exists(at) else []
+
+    def _versions(self) -> list[int]:
+        return [int(n[:8]) for n in self._names("manifests") if n.endswith(".json") and n[:8].isdigit()]
+
+    def _manifest(self, version: int | None = None) -> dict | None:
+        found = self._versions()
+        if not found:
+            return None
+        at = version if version is not None else found[-1]
+        stream = self._fs.open(self._path(f"{self.folder}/manifests/{at:08d}.json"))
+        try:
+            return json.loads(bytes(stream.readAllBytes()).decode())
+        finally:
+            stream.close()
+
+    def _commit(self, manifest: dict) -> None:
+        draft, final = (self._path(f"{self.folder}/manifests/{n}") for n in (f"draft-{uuid.uuid4().hex}", f"{manifest['version']:08d}.json"))
+        stream = self._fs.create(draft, False)
+        stream.write(bytearray(json.dumps(manifest).encode()))
+        stream.close()
+        if self._fs.exists(final) or not self._fs.rename(draft, final):
+            self._fs.delete(draft, False)
+            raise RuntimeError("another upsert has written this version")
+
+    def _read(self, files: list[str]) -> DataFrame | None:
+        return self.spark.read.option("mergeSchema", "true").parquet(*[f"{self.folder}/{f}" for f in files]) if files else None
 
     def read(self) -> DataFrame | None:
-        at = self._current()
-        return self.spark.read.parquet(f"{self.folder}/{at}") if at else None
+        held = self._manifest()
+        return self._read(sorted(held["files"].values())) if held else None
+
+    def upsert(self, rows: DataFrame, order: str | None = None) -> int:
+        """Of rows with the same id in one call the first in `order` holds, without it the first as they are read; a later call replaces earlier rows.
 
-    def upsert(self, rows: DataFrame, order: str | None = None) -> None:
-        """Of rows with the same id in one call the first in order holds; a later call replaces earlier rows."""
+        Rows with a null or blank id are all kept. Gives the number of rows of the call that are now in the table.
+        """
         from litloom.operators.incremental import keep_first
 
-        new = keep_first(rows, self.key, order) if order else rows.dropDuplicates([self.key])
-        old = self.read()
+        held = self._manifest() or {"version": 0, "shards": self.shards, "files": {}}
+        own = [F.col(f"`{c}`") for c in rows.columns]
+        place = F.col(order) if order else F.monotonically_increasing_id()
+        told = materialize(rows.withColumn("_order", F.struct(place.alias("o"), F.xxhash64(F.to_json(F.struct(*own))).alias("h"))).withColumn("_shard", F.pmod(F.xxhash64(self.key), F.lit(self.shards)).cast("int")), "upsert")
+        first = keep_first(told, self.key, "_order").drop("_order")
+        blank = F.col(self.key).isNull() | (F.trim(self.key) == "")
+        new = first.filter(~blank).dropDuplicates([self.key]).unionByName(first.filter(blank))
+        touched = [r[0] for r in told.select("_shard").distinct().collect()]  # one row for each shard at most
+        if not touched:
+            return 0
+        old = self._read([held["files"][str(i)] for i in touched if str(i) in held["files"]])
+        whole = new
         if old is not None:
-            new = union_of_keys(new, old.join(new.select(self.key), self.key, "left_anti"))
-        at = uuid.uuid4().hex
-        new.write.parquet(f"{self.folder}/{at}")
-        self.spark.createDataFrame([(at,)], "at string").coalesce(1).write.mode("overwrite").text(f"{self.folder}/current")
+            stays = old.join(new.select(self.key).distinct(), self.key, "left_anti")
+            whole = union_of_keys(new, stays.withColumn("_shard", F.pmod(F.xxhash64(self.key), F.lit(self.shards)).cast("int")))
+        data = f"data/{uuid.uuid4().hex}"
+        count = new.count()
+        # a shard that an upsert touches is written by as many tasks as the shuffle has, not by one
+        whole.write.partitionBy("_shard").parquet(f"{self.folder}/{data}")
+        self._commit({"version": held["version"] + 1, "shards": self.shards, "files": held["files"] | {str(i): f"{data}/_shard={i}" for i in touched}})
+        drop(told)
+        return count
+
+    def vacuum(self, keep: int = 2) -> list[str]:
+        """Delete the manifests before the last `keep`, and files that the others don't name. Not while an upsert runs."""
+        versions = self._versions()
+        for v in versions[:-keep]:
+            self._fs.delete(self._path(f"{self.folder}/manifests/{v:08d}.json"), False)
+        named = {f.split("/")[1] for v in versions[-keep:] for f in self._manifest(v)["files"].values()}
+        gone = [d for d in self._names("data") if d not in named]
+        for d in gone:
+            self._fs.delete(self._path(f"{self.folder}/data/{d}"), True)
+        return gone
 
 
 def append_json(rows: DataFrame, folder: str) -> None:

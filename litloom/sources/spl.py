@@ -82,12 +82,13 @@ def parse(content: bytes, name: str = "") -> dict:
         return _EMPTY | {"status": "parse_error"}
 
 
-def read(files: DataFrame) -> DataFrame:
-    """Labels of binary files (path, content), or of archive members (archive_id too, which then names the file)."""
+def read(files: DataFrame, carry: str | None = None) -> DataFrame:
+    """Labels of binary files (path, content), or of archive members (archive_id too, which then names the file). carry: a string column of files to keep."""
     named = F.col("archive_id") if "archive_id" in files.columns else F.regexp_replace(F.substring_index("path", "/", -1), r"\.[^.]*$", "")
+    own = ["path", *([carry] if carry else [])]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame([{"path": p} | parse(bytes(c), n or "") for p, n, c in zip(batch["path"], batch["stem"], batch["content"], strict=True)])
+            yield pd.DataFrame([k | parse(bytes(c), n or "") for k, n, c in zip(batch[own].to_dict("records"), batch["_stem"], batch["content"], strict=True)])
 
-    return files.select("path", named.alias("stem"), "content").mapInPandas(run, LABEL)
+    return files.select(*own, named.alias("_stem"), "content").mapInPandas(run, f"{carry} string, {LABEL}" if carry else LABEL)

@@ -30,18 +30,29 @@ class BatchWriter:
     def __init__(self, client: Client, schema: dict[str, Any] | None = None, batch: int = 500, attempts: int = 5, interval: float = 0.0, dry_run: bool = False, sleep: Callable[[float], None] = time.sleep, clock: Callable[[], float] = time.monotonic):
         self.client, self.schema, self.batch, self.attempts, self.interval, self.dry_run = client, schema, batch, attempts, interval, dry_run
         self.sleep, self.clock, self.last, self.written = sleep, clock, None, 0
+        self.seen: set = set()
 
     def write(self, rows: Iterable[dict], key: str = "id") -> int:
-        """The number of rows written. In a dry run all rows count and none is sent; rows with an empty id are never merged."""
-        rows = list(rows)
+        """The number of rows written, batch by batch as they come. In a dry run all rows count and none is sent; rows with an empty id are never merged."""
         if self.dry_run:
-            return len(rows)
-        seen: set = set()
-        own = [r for r in rows if not r.get(key) or not (r[key] in seen or seen.add(r[key]))]
-        for at in range(0, len(own), self.batch):
-            self._send(columns_of(own[at : at + self.batch]))
-        self.written += len(own)
-        return len(own)
+            return sum(1 for _ in rows)
+        held: list[dict] = []
+        n = 0
+        for r in rows:
+            if r.get(key):
+                if r[key] in self.seen:
+                    continue
+                self.seen.add(r[key])
+            held.append(r)
+            if len(held) == self.batch:
+                self._send(columns_of(held))
+                n, held = n + len(held), []
+        if held:
+            self._send(columns_of(held))
+        n += len(held)
+        self.seen.clear()
+        self.written += n
+        return n
 
     def _send(self, columns: dict[str, list]) -> None:
         if self.last is not None and self.interval > 0:
@@ -71,11 +82,8 @@ def write_frame(rows: DataFrame, connect: Callable[[], BatchWriter], key: str =
     def run(batches: Iterator) -> Iterator:
         import pandas as pd
 
-        writer, n = connect(), 0
-        held: list[dict] = []
-        for batch in batches:
-            held += batch.to_dict("records")
-        n = writer.write(held, key)
+        # batches are sent as they come: of a partition only one batch and the ids are held
+        n = connect().write((r for batch in batches for r in batch.to_dict("records")), key)
         yield pd.DataFrame({"written": [n]})
 
     return own.mapInPandas(run, "written long")

@@ -81,7 +81,107 @@ def test_pmc_and_labels(spark):
     fetched = spark.createDataFrame([("k1", "a.xml", bytearray(JATS)), ("k2", "b.xml", bytearray(JATS)), ("k3", "c", bytearray(JATS)), ("k5", "d", bytearray(b"<article"))], "metadata_key string, path string, content binary")
     good, dead = pipelines.pmc_articles(inventory, done, fetched)
     assert [r.document_id for r in good.collect()] == ["pmid_5"]
-    assert {tuple(r) for r in dead.collect()} == {("pmc_oa:k2:e", "metadata filter", "metadata field license marks a non-commercial license (cc-by-nc)"), ("", "parse", "parse error: ParseError")}
+    assert {tuple(r) for r in dead.collect()} == {("pmc_oa:k2:e", "metadata filter", "metadata field license marks a non-commercial license (cc-by-nc)"), ("pmc_manuscript:k5:e", "parse", "parse error: ParseError")}
     archives = spark.createDataFrame([("z", bytearray(_zip({"One.xml": SPL, "two.xml": SPL.replace(b"s-1", b"s-2"), "three.xml": b"<"})))], "path string, content binary")
     points = pipelines.label_points(archives, spark.createDataFrame([("two",)], "key string")).collect()
     assert {p.chunk_id for p in points} == {"s-1_warnings_part0", "s-1_warnings_table_0_part0", "s-1_highlights_part0"} and len(points[0].vector) == 64
+
+
+def _pmc_rows(spark):
+    inventory = spark.createDataFrame(
+        [("k1", "e", True, None, "CC BY"), ("k1", "e2", True, None, "CC BY"), ("k2", "e", True, None, "cc-by-nc"), ("k5", "e", None, True, "x"), ("k6", "e", True, None, None)],
+        "metadata_key string, etag string, is_pmc_openaccess boolean, is_manuscript boolean, license string",
+    ).withColumn("last_modified", F.lit("2026-01-02 00:00:00").cast("timestamp_ntz"))
+    long = JATS.replace(b"<p>did</p>", b"<p>" + b"did what was said " * 10 + b"</p>")
+    fetched = spark.createDataFrame([("k1", "PMC1.xml", bytearray(long)), ("k5", "d", bytearray(b"<article"))], "metadata_key string, path string, content binary")
+    return inventory, fetched
+
+
+def test_pmc_update_reaches_the_table_and_goes_on_after_a_crash(spark, tmp_path):
+    from litloom.sources.checkpoint import Checkpoint
+
+    inventory, fetched = _pmc_rows(spark)
+    table, checkpoint = Table(spark, str(tmp_path / "t"), shards=2), Checkpoint(spark, str(tmp_path / "c"))
+
+    class Killed(Table):
+        def _commit(self, manifest):
+            raise KeyboardInterrupt
+
+    with pytest.raises(KeyboardInterrupt):
+        pipelines.pmc_update(inventory, fetched, Killed(spark, str(tmp_path / "t"), shards=2), checkpoint)
+    assert table.read() is None and checkpoint.done().count() == 0
+    told = pipelines.pmc_update(inventory, fetched, table, checkpoint)
+    rows = table.read().collect()
+    assert told["articles"] == 1 and told["points"] == len(rows) >= 1 and all(r.doc_id == "pmid_5" and len(r.vector) == 64 for r in rows)
+    assert {r.key for r in checkpoint.done().collect()} == {"pmc_oa:k1:e2"}
+    assert {(r.key, r.stage) for r in checkpoint.dropped().collect()} == {("pmc_oa:k2:e", "metadata filter"), ("pmc_manuscript:k5:e", "parse"), ("k6", "xml download")}
+    # the watermark keeps the second run from seeing anything; without it only what failed on the way is tried again
+    assert pipelines.pmc_update(inventory, fetched, table, checkpoint)["articles"] == 0 and checkpoint.dropped().count() == 3
+    late = spark.createDataFrame([("k6", "PMC6.xml", bytearray(JATS.replace(b">5<", b">6<").replace(b"<p>did</p>", b"<p>" + b"more words " * 10 + b"</p>")))], fetched.schema)
+    assert pipelines.pmc_update(inventory.drop("last_modified"), late, table, checkpoint)["articles"] == 1
+    assert {r.doc_id for r in table.read().collect()} == {"pmid_5", "pmid_6"}
+
+
+def test_label_update(spark, tmp_path):
+    from litloom.sources.checkpoint import Checkpoint
+
+    table, checkpoint = Table(spark, str(tmp_path / "t")), Checkpoint(spark, str(tmp_path / "c"))
+    archives = spark.createDataFrame([("z", bytearray(_zip({"One.xml": SPL, "three.xml": b"<"})))], "path string, content binary")
+    assert pipelines.label_update(archives, table, checkpoint) == 3 == table.read().count()
+    assert {r.key for r in checkpoint.done().collect()} == {"one", "s-1"} and [tuple(r) for r in checkpoint.dropped().collect()] == [("three", "parse", "parse_error")]
+    assert pipelines.label_update(archives, table, checkpoint) == 0 and table.read().count() == 3
+
+
+def test_table_versions(spark, tmp_path):
+    table = Table(spark, str(tmp_path / "t"), shards=4)
+    rows = lambda *r: spark.createDataFrame(list(r), "id string, v int, n int")
+    assert table.upsert(rows(("a", 1, 2), ("a", 2, 1), ("b", 3, 1), (None, 4, 1), (None, 5, 1), ("c", 6, 1), ("c", 6, 1)), "n") == 5
+    got = lambda: sorted((r.id or "", r.v) for r in table.read().collect())
+    assert got() == [("", 4), ("", 5), ("a", 2), ("b", 3), ("c", 6)]
+    before = table._manifest()["files"]
+    assert table.upsert(rows(("a", 9, 1))) == 1 and got() == [("", 4), ("", 5), ("a", 9), ("b", 3), ("c", 6)]
+    after = table._manifest()["files"]
+    assert sum(before[k] != after[k] for k in before) == 1
+    assert table.upsert(rows().limit(0)) == 0 and Table(spark, str(tmp_path / "t"), shards=9).shards == 4
+    assert table.upsert(spark.createDataFrame([("d", "x")], "id string, other string")) == 1 and "other" in table.read().columns
+    with pytest.raises(RuntimeError):
+        table._commit(table._manifest())
+    table.vacuum(keep=1)
+    assert got() == [("", 4), ("", 5), ("a", 9), ("b", 3), ("c", 6), ("d", None)]
+
+
+def test_schema_by_name(spark):
+    from litloom.sources.sink import schema_by_name
+
+    df = spark.createDataFrame([], "id string, vector array<float>, page_content string, title string, year long, is_table boolean, keywords array<string>, other_ids string, extra array<string>, n double, doc_id string, drug_name string")
+    told = schema_by_name(df.schema, 8)
+    assert told["id"] == "uuid" and told["vector"] == {"type": "[8]f16", "ann": True} and told["page_content"]["full_text_search"]["stemming"] and told["title"]["full_text_search"] is True
+    assert (told["year"], told["is_table"], told["keywords"], told["extra"], told["n"], told["doc_id"]) == ("int", "bool", "[]string", "[]string", "float", "string")
+    assert told["other_ids"] == {"type": "string", "filterable": False} and told["drug_name"]["filterable"]
+
+
+def test_asking_again_and_routes():
+    from litloom.operators.embed import asked, routed
+
+    calls, slept, now = [], [], [0.0]
+
+    def flaky(errors):
+        def ask(texts):
+            calls.append(len(texts))
+            if errors:
+                raise errors.pop(0)
+            return [[1.0]] * len(texts)
+
+        return ask
+
+    limited = RuntimeError("429 too many requests")
+    limited.retry_after = 7
+    assert asked(flaky([RuntimeError("503"), limited]), 3, slept.append)(["a"]) == [[1.0]] and slept == [1.0, 7.0]
+    with pytest.raises(RuntimeError):
+        asked(flaky([RuntimeError("400 bad request")]), 3, slept.append)(["a"])
+    assert len(slept) == 2
+    which = []
+    one = lambda texts: which.append(1) or (_ for _ in ()).throw(RuntimeError("429"))
+    two = lambda texts: which.append(2) or [[2.0]]
+    ask = routed([one, two], ["m", "m"], rest=30, per_second=100, clock=lambda: now[0], sleep=lambda s: now.__setitem__(0, now[0] + s))
+    assert [ask(["x"]) for _ in range(4)] == [[[2.0]]] * 4 and which.count(1) <= 1
