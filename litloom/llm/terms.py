@@ -2,10 +2,10 @@
 
 Each worker holds one burst trie for each field. Its leaves are containers (suffix -> occurrence and record
 counter) that burst into a node by next character once they outgrow `burst`. A batch of rows is first reduced by
-Arrow kernels, so the trie sees each distinct value of a batch once. The containers are written out once; prefixes
-that hold more than their share of entries are found on them (at most `routes` of each length, whatever the data),
-and an entry is routed by the shortest prefix that is not heavy. All entries of a route meet in one task, which
-merges the subtrees of the workers into one trie at a time.
+Arrow kernels, so the trie sees each distinct value of a batch once. The containers are written out once. Routes are
+ranges between terms, drawn so that each has its share of the entries: where many values begin alike, routes part further
+on in the values, however long what they share is, and there are the more routes the more entries there are. All entries
+of a route meet in one task in order of term, which merges the subtrees of the workers, one bounded trie at a time.
 """
 
 from __future__ import annotations
@@ -18,8 +18,6 @@ from pyspark.sql import functions as F
 
 from litloom.runtime import clean, materialize, partitions
 
-DEPTH = 24
-
 
 class BurstTrie:
     """Strings with two counters. A node is a dict of children by character; a container a dict of suffixes."""
@@ -112,53 +110,37 @@ def _count(fields: list[str], burst: int, most: int):
     return run
 
 
-def _merge(burst: int):
+def _merge(burst: int, most: int):
+    """The entries come sorted: once a trie is full and the next term is another one, it has all of its terms."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        open_route, trie, rest = None, BurstTrie(burst), []
+        open_field, last, trie = None, None, BurstTrie(burst)
         for batch in batches:
-            for field, route, term, n, rows in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
-                if (field, route) != open_route:
-                    if open_route is not None:
-                        rest.append((open_route[0], trie))
-                        if sum(t.size for _, t in rest) > 20_000:
-                            yield from _joined(rest)
-                            rest = []
-                    open_route, trie = (field, route), BurstTrie(burst)
+            for field, term, n, rows in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+                if field != open_field or trie.size >= most and term != last:
+                    if trie.size:
+                        yield from _flush(open_field, trie)
+                    open_field, trie = field, BurstTrie(burst)
                 trie.add(term, n, rows)
-        if open_route is not None:
-            rest.append((open_route[0], trie))
-        yield from _joined(rest)
+                last = term
+        if trie.size:
+            yield from _flush(open_field, trie)
 
     return run
 
 
-def _joined(tries: list[tuple[str, BurstTrie]]) -> Iterator[pa.RecordBatch]:
-    batches = [b for field, trie in tries for b in _flush(field, trie)]
-    if batches:
-        yield pa.Table.from_batches(batches).combine_chunks().to_batches()[0]
-
-
-def term_counts(df: DataFrame, fields: list[str], burst: int = 512, worker_entries: int = 2_000_000, routes: int = 256) -> DataFrame:
+def term_counts(df: DataFrame, fields: list[str], burst: int = 512, worker_entries: int = 2_000_000, route_entries: int = 1_000_000) -> DataFrame:
     """(field_name, term, occurrences, records): each distinct value of the list columns `fields` in all rows of df.
 
     Values are cleaned first (white space, letter case); null lists, null elements and empty values count nothing. An
     empty table gives no rows. Other columns, whatever their names, are not read.
     """
-    spark = df.sparkSession
     lists = df.select(*(F.filter(F.transform(F.coalesce(F.col(f), F.array().cast("array<string>")), clean), lambda x: x.isNotNull() & (x != "")).alias(f) for f in fields))
     entry = "field_name string, term string, occurrences long, records long"
     entries = materialize(lists.mapInArrow(_count(fields, burst, worker_entries), entry), "tries")
-    # the prefixes with more than 1/routes of all entries: at most `routes` of each length
-    total = entries.count()
-    prefixes = entries.select("field_name", F.explode(F.transform(F.sequence(F.lit(1), F.least(F.length("term"), F.lit(DEPTH))), lambda i: F.substring("term", F.lit(1), i))).alias("prefix"))
-    heavy = prefixes.groupBy("field_name", "prefix").count().filter(F.col("count") > max(total / routes, 64)).select("field_name", "prefix").collect()
-    known = {f: sorted({r.prefix for r in heavy if r.field_name == f}) for f in fields}
-    route = F.lit(None).cast("string")
-    for field, own in known.items():
-        longest = F.aggregate(F.transform(F.sequence(F.lit(1), F.lit(DEPTH)), lambda i: F.when(F.substring("term", F.lit(1), i).isin(own), i).otherwise(0)), F.lit(0), lambda a, b: F.greatest(a, b)) if own else F.lit(0)
-        route = F.when(F.col("field_name") == field, F.substring(F.col("term"), F.lit(1), longest + 1)).otherwise(route)
-    routed = entries.select("field_name", route.alias("route"), "term", "occurrences", "records")
-    return routed.repartition(partitions(spark), "field_name", "route").sortWithinPartitions("field_name", "route").mapInArrow(_merge(burst), entry)
+    routes = max(partitions(df.sparkSession), -(-entries.count() // route_entries))
+    routed = entries.repartitionByRange(routes, "field_name", "term").sortWithinPartitions("field_name", "term")
+    return routed.mapInArrow(_merge(burst, worker_entries), entry)
 
 
 def marked(df: DataFrame, fields: list[str], rare_below: int = 3, common_share: float = 0.15, **how) -> DataFrame:
