@@ -25,56 +25,73 @@ KINDS = (
 )
 INSIDE = 10.0
 PIECE = 0.5
+GRID = 32  # inside a stretch without any boundary, longer than the room, cuts fall on parts of the room
 
 
-def boundaries(text: str, room: int) -> tuple[np.ndarray, np.ndarray]:
-    """Positions where a cut may fall, and their penalties. Poorer kinds are added only where better ones lie further apart than half the room."""
+def boundaries(text: str, room: int, kinds: int = len(KINDS)) -> tuple[np.ndarray, np.ndarray]:
+    """All positions where a cut of the first `kinds` kinds may fall, and their penalties; with all kinds, also a grid inside stretches without any."""
     n = len(text)
     best: dict[int, float] = {n: 0.0}
-    gaps = [(0, n)]
-    for pattern, penalty in KINDS:
-        for a, b in gaps:
-            for m in pattern.finditer(text, a, b):
-                if 0 < m.end() < n:
-                    best.setdefault(m.end(), penalty)
+    for pattern, penalty in KINDS[:kinds]:
+        for m in pattern.finditer(text):
+            if 0 < m.end() < n:
+                best.setdefault(m.end(), penalty)
+    if kinds == len(KINDS):
         at = sorted({0, *best})
-        gaps = [(a, b) for a, b in zip(at, at[1:], strict=False) if b - a > max(1, room // 2)]
-        if not gaps:
-            break
-    for a, b in gaps:  # no natural boundary at all
-        for p in range(a + max(1, room // 4), b, max(1, room // 4)):
-            best.setdefault(p, INSIDE)
+        for a, b in zip(at, at[1:], strict=False):
+            if b - a > room:
+                for p in range(a + max(1, room // GRID), b, max(1, room // GRID)):
+                    best.setdefault(p, INSIDE)
     at = np.array(sorted(best), np.int64)
     return at, np.array([best[p] for p in at.tolist()])
 
 
-def cuts(text: str, limit: int, overlap: int, balance: float = 1.0) -> list[int]:
-    """The ends of the pieces; the last is len(text)."""
-    n, room = len(text), limit - overlap
-    if n <= limit:
-        return [n]
-    at, penalty = boundaries(text, room)
+def _program(n: int, limit: int, overlap: int, balance: float, at: np.ndarray, penalty: np.ndarray) -> tuple[float, list[int]]:
+    """The least cost over these positions, infinite if there is no way, and its cuts."""
+    room = limit - overlap
     target = (n - overlap) / -(-(n - overlap) // room)
     cost, back = np.full(len(at), np.inf), np.full(len(at), -1, np.int64)
+    low = np.searchsorted(at, at - room)
     for i in range(len(at)):
         p = int(at[i])
         own = 0.0 if p == n else penalty[i]
         if p <= limit:
             cost[i] = own + PIECE + balance * ((p - overlap) / target - 1) ** 2
-        a = int(np.searchsorted(at, p - room))
-        # a piece must go on beyond the text that it repeats
-        b = i
-        if a < b:
-            whole = cost[a:b] + own + PIECE + balance * ((p - at[a:b]) / target - 1) ** 2
-            whole[at[a:b] <= overlap] = np.inf
+        a = int(low[i])
+        if a < i:
+            whole = cost[a:i] + own + PIECE + balance * ((p - at[a:i]) / target - 1) ** 2
+            whole[at[a:i] <= overlap] = np.inf  # a piece must go on beyond the text that it repeats
             k = int(np.argmin(whole))
             if whole[k] < cost[i]:
                 cost[i], back[i] = whole[k], a + k
+    if not np.isfinite(cost[-1]):
+        return np.inf, []
     ends, i = [], len(at) - 1
     while i >= 0:
         ends.append(int(at[i]))
         i = int(back[i])
-    return ends[::-1]
+    return float(cost[-1]), ends[::-1]
+
+
+def cuts(text: str, limit: int, overlap: int, balance: float = 1.0) -> list[int]:
+    """The ends of the pieces of least cost; the last is len(text).
+
+    The program is run over the better kinds of boundaries first. A poorer kind is let in only if some way with one cut of it
+    could still cost less: its penalty and the fewest pieces there can be, against the least cost so far. So what is left
+    out can't be in the result, which is the least over all boundaries.
+    """
+    n, room = len(text), limit - overlap
+    if n <= limit:
+        return [n]
+    fewest = PIECE * -(-(n - overlap) // room)
+    best, ends = np.inf, []
+    for kinds in range(3, len(KINDS) + 1):
+        worst = KINDS[kinds - 1][1] if kinds > 3 else 0.0
+        if fewest + worst >= best:
+            break
+        at, penalty = boundaries(text, room, kinds)
+        best, ends = _program(n, limit, overlap, balance, at, penalty)
+    return ends
 
 
 def pieces(text: str, limit: int, overlap: int) -> list[tuple[int, int]]:

@@ -1,4 +1,5 @@
 import collections
+import itertools
 import random
 import re
 
@@ -114,6 +115,28 @@ def test_split_is_optimal_and_natural():
     assert len(split.pieces("x" * 1000, 300, 30)) == 4 and len(at) == len(penalty)
 
 
+@settings(max_examples=80, deadline=None)
+@given(st.text(alphabet="aaaab. \n,", min_size=20, max_size=200), st.integers(12, 50), st.integers(0, 8))
+def test_no_way_over_all_boundaries_costs_less(text, limit, overlap):
+    n = len(text)
+    if n <= limit:
+        return
+    at, penalty = split.boundaries(text, limit - overlap)
+    best, _ = split._program(n, limit, overlap, 1.0, at, penalty)
+    own = dict(zip(at.tolist(), penalty.tolist(), strict=True))
+    target = (n - overlap) / -(-(n - overlap) // (limit - overlap))
+
+    def cost(ends):
+        sizes = [ends[0] - overlap, *(b - a for a, b in zip(ends, ends[1:]))]
+        return sum(0.0 if e == n else own[e] for e in ends) + split.PIECE * len(ends) + sum((x / target - 1) ** 2 for x in sizes)
+
+    assert abs(cost(split.cuts(text, limit, overlap)) - best) < 1e-9
+    if len(at) <= 12:  # the program itself against all ways, where these are few
+        ways = [[*way, n] for k in range(len(at)) for way in itertools.combinations(at[:-1].tolist(), k)]
+        fit = [w for w in ways if w[0] <= limit and all(b - a <= limit - overlap for a, b in zip(w, w[1:])) and all(x > overlap for x in w[:-1])]
+        assert abs(min(map(cost, fit)) - best) < 1e-9
+
+
 def test_split_operator_edges(spark):
     limits = spark.createDataFrame([("a", 50, 10), ("b", 20, 99), ("c", 10, None)], "item_kind string, max_chars int, overlap_chars int")
     items = spark.createDataFrame([("a", 1, 0, "word " * 40), ("a", 1, 0, "word " * 40), ("a", 2, 0, None), ("b", 3, 1, "z" * 45), ("c", 4, 2, "q r " * 6), ("d", 5, 0, "x" * 99), (None, 6, 0, "x" * 99)], "item_kind string, record_no long, section_pos int, text string")
@@ -195,7 +218,7 @@ def test_terms_equal_brute_force(spark):
         own = [t for t in (" ".join(x.split()).lower() for x in a or [] if x is not None) if t]
         want.update(own)
         records.update(set(own))
-    got = {r.term: (r.occurrences, r.records) for r in terms.term_counts(df, ["a", "b"], burst=8, worker_entries=50, routes=16).collect()}
+    got = {r.term: (r.occurrences, r.records) for r in terms.term_counts(df, ["a", "b"], burst=8, worker_entries=50, route_entries=40).collect()}
     assert got == {t: (want[t], records[t]) for t in want}
     assert terms.marked(df.limit(0), ["a"]).count() == 0
 
