@@ -13,14 +13,15 @@ import os
 from collections import deque
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from litloom.runtime import materialize
 
 TOKENIZERS = "/opt/tokenizers"
-SLOTS = 1024
+SLOT_TEXTS = 50_000  # texts of one pattern that a window sorts at once
+MOST_PATTERNS = 65_536  # patterns whose flow the driver solves; 16 sources can't have more
 
 
 def _encoding(folder: str, name: str):
@@ -33,14 +34,17 @@ def _encoding(folder: str, name: str):
     return tiktoken.Encoding(name, pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
 
-def token_counts(folder: str = TOKENIZERS, name: str = "byte_bpe_50k.tiktoken"):
-    """A column function: the number of tokens of a text in a public vocabulary."""
+def token_counts(spark: SparkSession, folder: str = TOKENIZERS, name: str = "byte_bpe_50k.tiktoken"):
+    """A column function: the number of tokens of a text in a public vocabulary. The driver's file is sent to all executors."""
+    spark.sparkContext.addFile(os.path.join(folder, name))
 
     @F.pandas_udf("long")
     def count(texts: pd.Series) -> pd.Series:
         global _ENCODING
         if globals().get("_ENCODING") is None or _ENCODING.name != name:
-            _ENCODING = _encoding(folder, name)
+            from pyspark import SparkFiles
+
+            _ENCODING = _encoding(SparkFiles.getRootDirectory(), name)
         return pd.Series([len(_ENCODING.encode_ordinary(t)) if t else 0 for t in texts], dtype="int64")
 
     return count
@@ -145,30 +149,29 @@ def mixture(documents: DataFrame, targets: DataFrame, key: str, text: str, sourc
     """
     spark = documents.sparkSession
     wanted = {r.source: (float(r.target_share), int(r.max_repeats)) for r in targets.filter("target_share > 0 and max_repeats > 0").collect()}
-    tokens = tokens or token_counts()
+    tokens = tokens or token_counts(spark)
     all_ = materialize(classes(documents, key, text, source, sorted(wanted), tokens), "classes")
-    placed = all_.withColumn("order", F.xxhash64(F.lit(seed), "h")).withColumn("slot", F.pmod(F.shiftright("order", 20), F.lit(SLOTS)).cast("int"))
-    # tokens by pattern and slot: at most SLOTS rows for each pattern
-    slots: dict[tuple[str, ...], dict[int, int]] = {}
-    for r in placed.groupBy("pattern", "slot").agg(F.sum("tokens").alias("tokens")).collect():
-        slots.setdefault(tuple(r.pattern), {})[r.slot] = r.tokens
-    sizes = {p: sum(own.values()) for p, own in slots.items()}
+    told = {tuple(r.pattern): (r.tokens, r.texts) for r in all_.groupBy("pattern").agg(F.sum("tokens").alias("tokens"), F.count("*").alias("texts")).limit(MOST_PATTERNS + 1).collect()}
+    if len(told) > MOST_PATTERNS:
+        raise ValueError(f"more than {MOST_PATTERNS} membership patterns: merge sources")
+    sizes = {p: tokens for p, (tokens, _) in told.items()}
+    # slots are equal parts of the seeded order, so many that none has more than some SLOT_TEXTS texts of a pattern
+    slots = max(64, -(-max((texts for _, texts in told.values()), default=0) // SLOT_TEXTS))
+    placed = all_.withColumn("order", F.xxhash64(F.lit(seed), "h")).withColumn("slot", F.floor((F.shiftright("order", 32) + F.lit(1 << 31)) * F.lit(slots) / F.lit(1 << 32)).cast("int"))
     flow = route(sizes, wanted, total)
-    starts, stretches = [], []
-    for p, own in slots.items():
-        at = 0
-        for slot in sorted(own):
-            starts.append((list(p), slot, at))
-            at += own[slot]
+    stretches = []
+    for p in sizes:
         at = 0
         for s in p:
             if part := flow.get((p, s), 0):
                 stretches.append((list(p), s, at, at + part, sizes[p]))
                 at += part
-    before = spark.createDataFrame(starts, "pattern array<string>, slot int, base long")
+    # where each slot begins: sums over slots, of which a pattern has few, then within each slot
+    sums = placed.groupBy("pattern", "slot").agg(F.sum("tokens").alias("own"))
+    before = sums.select("pattern", "slot", (F.sum("own").over(Window.partitionBy("pattern").orderBy("slot")) - F.col("own")).alias("base"))
     parts = spark.createDataFrame(stretches, "pattern array<string>, source string, low long, high long, size long")
-    # both tables have a bounded number of rows for each pattern, whatever the number of documents
-    line = placed.join(F.broadcast(before), ["pattern", "slot"]).withColumn("at", F.col("base") + F.sum("tokens").over(Window.partitionBy("pattern", "slot").orderBy("order", "id")) - F.col("tokens"))
+    line = placed.join(before, ["pattern", "slot"]).withColumn("at", F.col("base") + F.sum("tokens").over(Window.partitionBy("pattern", "slot").orderBy("order", "id")) - F.col("tokens"))
+    # at most one row for each of MOST_PATTERNS patterns and each of its sources
     met = line.join(F.broadcast(parts), "pattern")
     # the copies of a text start at `at`, at + size, at + 2 size ...: how many of these lie in low <= x < high
     upto = lambda x: F.ceil(F.greatest(F.col(x) - F.col("at"), F.lit(0)) / F.col("size"))

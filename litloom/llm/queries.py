@@ -83,6 +83,23 @@ select i.item_kind, record_no, section_pos from (
 join split_limits l on l.item_kind = i.item_kind where length(text) > max_chars"""
 
 
+@query
+def p2_rebuilt(spark: SparkSession, folder: str) -> DataFrame:
+    """The digest of each item's text as its pieces give it, and whether all pieces are within the limit."""
+    limits = table(spark, folder, "split_limits")
+    pieces = split.split_oversized(_items(spark, folder), limits).join(F.broadcast(limits), "item_kind")  # a limit for each kind
+    own = F.when(F.col("piece_no") == 0, F.col("piece")).otherwise(F.substr("piece", F.col("overlap_chars") + 1))
+    rebuilt = pieces.groupBy("item_kind", "record_no", "section_pos").agg(F.sort_array(F.collect_list(F.struct("piece_no", own.alias("own")))).alias("parts"), F.bool_and(F.length("piece") <= F.col("max_chars")).alias("within_limit"))
+    return rebuilt.select("item_kind", "record_no", "section_pos", F.md5(F.array_join("parts.own", "")).alias("digest"), "within_limit")
+
+
+SQL["p2_rebuilt"] = """
+with i as (select 'full_text' as item_kind, record_no, -1 as section_pos, full_text as text from pmc_articles
+  union all select 'section', record_no, p::int, x.content from (select record_no, unnest(structured_sections) as x, unnest(range(len(structured_sections))) as p from pmc_articles)
+  union all select 'label_section', record_no, p::int, x.text from (select record_no, unnest(sections) as x, unnest(range(len(sections))) as p from dailymed_labels))
+select item_kind, record_no, section_pos, md5(text) as digest, true as within_limit from i join split_limits using (item_kind) where length(text) > max_chars"""
+
+
 # 5. Has this key been seen before?
 
 
