@@ -27,6 +27,8 @@ class Config:
     min_year: int = 2015
     min_abstract: int = 50
     only_target_types: bool = True
+    need_title: bool = True
+    need_abstract: bool = True
     need_pmid: bool = False
     need_open_access: bool = False
     need_commercial: bool = True

@@ -60,3 +60,15 @@ def split_by_reason(rows: DataFrame, reason: Column, key: Column, stage: str) ->
     told = rows.withColumn("_reason", reason)
     dead = told.filter("_reason is not null").select(key.alias("key"), F.lit(stage).alias("stage"), F.trim(F.regexp_replace("_reason", r"\s+", " ")).alias("reason"))
     return told.filter("_reason is null").drop("_reason"), dead
+
+
+def verified_output(rows: DataFrame, order: str, kinds: list[str], every: int = 1000) -> DataFrame:
+    """(kind, value, estimated): the number of all rows, and by each column of `kinds` how many there are, from every `every`-th row in order.
+
+    The sample is the feature: the counts are what it gives times `every`, the total (kind 'all') is exact. Null values are 'unknown'.
+    """
+    numbered = batches(rows.select(order, *kinds), order, every)
+    sampled = numbered.filter(F.col("row_no") % every == 0)
+    each = sampled.select(F.explode(F.array(*(F.struct(F.lit(k).alias("kind"), F.coalesce(F.col(k).cast("string"), F.lit("unknown")).alias("value")) for k in kinds))).alias("x")).select("x.kind", "x.value")
+    total = rows.agg(F.count("*").alias("estimated")).select(F.lit("all").alias("kind"), F.lit("").alias("value"), "estimated")
+    return total.unionByName(each.groupBy("kind", "value").agg((F.count("*") * every).alias("estimated")))

@@ -338,6 +338,18 @@ def systematic_sample(spark: SparkSession, folder: str) -> DataFrame:
     return rows.filter("row_no % 1000 = 0").groupBy("year").agg((F.count("*") * 1000).alias("estimated"))
 
 
+_SAMPLED = "select *, row_number() over (order by record_no) as n from pubmed_articles"
+
+
+@query(f"""with s as ({_SAMPLED})
+select 'all' as kind, '' as value, count(*) as estimated from pubmed_articles
+union all select 'year', coalesce(year::varchar, 'unknown'), count(*) * 1000 from s where n % 1000 = 1 group by 2
+union all select 'source', coalesce(source, 'unknown'), count(*) * 1000 from s where n % 1000 = 1 group by 2""")
+def verify_output(spark: SparkSession, folder: str) -> DataFrame:
+    """Total, and estimates by year and source from every thousandth record: the feature is the sample."""
+    return incremental.verified_output(table(spark, folder, "pubmed_articles"), "record_no", ["year", "source"])
+
+
 @query("select event_id, count(*) over (order by ts range between interval 10 seconds preceding and current row) as requests from events where ts is not null")
 def request_rate_10s(spark: SparkSession, folder: str) -> DataFrame:
     """Requests in the last ten seconds at each event, without one window over all: each event also counts for the next frame."""

@@ -5,6 +5,9 @@ Cheap column filters and anti-joins come before every Python stage. A run that i
 
 from __future__ import annotations
 
+import time
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,8 +23,12 @@ from litloom.streaming.ingest import run_available
 
 
 def wanted_articles(articles: DataFrame, config: Config) -> DataFrame:
-    """Articles with title, abstract and year that are of a wanted type, with evidence and agencies."""
-    kept = articles.filter((F.col("title") != "") & (F.length("abstract") >= config.min_abstract) & (F.col("year") >= config.min_year))
+    """Articles of the wanted years, with title and abstract and of a wanted type unless config lets others through, with evidence and agencies."""
+    kept = articles.filter(F.col("year") >= config.min_year)
+    if config.need_title:
+        kept = kept.filter(F.col("title") != "")
+    if config.need_abstract:
+        kept = kept.filter(F.length("abstract") >= config.min_abstract)
     if config.only_target_types:
         kept = kept.filter(classify.is_target(F.col("publication_types_flat")))
     agencies = classify.agencies(F.col("affiliations"), F.col("grant_agencies"))
@@ -115,3 +122,19 @@ def label_update(archives: DataFrame, table: Table, checkpoint: Checkpoint, conf
     checkpoint.add(good.select(F.explode(F.array("archive_id", "set_id")).alias("key")), "key")
     drop(labels)
     return written
+
+
+def weekly_update(runs: dict[str, Callable[[], object]], skip: Sequence[str] = ()) -> dict[str, dict[str, object]]:
+    """Run the updates one after the other: for each its result, its seconds, or the error that ended it. One that fails doesn't keep the others from running."""
+    out: dict[str, dict[str, object]] = {}
+    for name, run in runs.items():
+        if name in skip:
+            out[name] = {"state": "skipped"}
+            continue
+        began = time.monotonic()
+        try:
+            out[name] = {"state": "done", "result": run()}
+        except Exception as e:
+            out[name] = {"state": "failed", "error": f"{type(e).__name__}: {e}"}
+        out[name]["seconds"] = round(time.monotonic() - began, 3)
+    return out

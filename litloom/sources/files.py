@@ -83,6 +83,12 @@ def daily_names(spark: SparkSession, start: str, end: str, prefix: str = "dm_spl
     return days.withColumn("name", F.concat(F.lit(prefix), F.date_format("day", "MMddyyyy"), F.lit(".zip")))
 
 
+def published(names: DataFrame, listed: DataFrame) -> DataFrame:
+    """The rows of names (name, ...) that a listing (path, ...) has, with their path."""
+    there = listed.select(F.substring_index("path", "/", -1).alias("name"), "path")
+    return names.join(there, "name")
+
+
 def member_root(c: Column) -> Column:
     """The first folder of a member's path, in lower case; '' if there is none."""
     return F.when(F.contains(c, F.lit("/")), F.lower(F.substring_index(c, "/", 1))).otherwise("")

@@ -24,6 +24,22 @@ def collapsed(el: ET.Element | None) -> str:
     return "" if el is None else " ".join("".join(el.itertext()).split())
 
 
+def text_without(el: ET.Element | None, left_out: set[str]) -> str:
+    """An element's text without that of the named elements at any depth (what follows them stays), white space collapsed."""
+    parts: list[str] = []
+
+    def walk(at: ET.Element) -> None:
+        parts.append(at.text or "")
+        for child in at:
+            if child.tag not in left_out:
+                walk(child)
+            parts.append(child.tail or "")
+
+    if el is not None:
+        walk(el)
+    return " ".join("".join(parts).split())
+
+
 def text_at(el: ET.Element, path: str) -> str | None:
     found = el.find(path)
     return (found.text or "").strip() or None if found is not None else None

@@ -185,3 +185,8 @@ def test_asking_again_and_routes():
     two = lambda texts: which.append(2) or [[2.0]]
     ask = routed([one, two], ["m", "m"], rest=30, per_second=100, clock=lambda: now[0], sleep=lambda s: now.__setitem__(0, now[0] + s))
     assert [ask(["x"]) for _ in range(4)] == [[[2.0]]] * 4 and which.count(1) <= 1
+
+
+def test_weekly_update_goes_on():
+    got = pipelines.weekly_update({"a": lambda: 1, "b": lambda: 1 / 0, "c": lambda: 3, "d": lambda: 4}, skip=["d"])
+    assert (got["a"]["result"], got["b"]["state"], got["c"]["state"], got["d"]["state"]) == (1, "failed", "done", "skipped") and "ZeroDivisionError" in got["b"]["error"]

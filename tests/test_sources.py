@@ -134,7 +134,24 @@ def test_files(spark, tmp_path):
     assert {r.path: r.valid for r in got.collect()} == {"a": True, "b": False, "c": False}
     assert files.listing(spark, str(tmp_path), "*.gz").count() == 1 and files.listing(spark, str(tmp_path), "*.gz", "2999-01-01T00:00:00").count() == 0
     assert files.daily_names(spark, "2026-02-02", "2026-02-01").count() == 0
+    listed = spark.createDataFrame([("s3://b/dm_spl_daily_update_02022026.zip",), ("other",)], "path string")
+    assert [r.path for r in files.published(files.daily_names(spark, "2026-02-01", "2026-02-03"), listed).collect()] == ["s3://b/dm_spl_daily_update_02022026.zip"]
     from pyspark.sql import functions as F
 
     times = spark.createDataFrame([("20260102030405.123",), ("x",), (None,)], "t string").select(files.modified(F.col("t")).cast("string").alias("t")).collect()
     assert [r.t for r in times] == ["2026-01-02 03:04:05", None, None]
+
+
+def test_boxed_tables():
+    from litloom.sources.xmltext import text_without
+
+    cells = "<table><tr><th>a</th><th>b</th></tr><tr><td>1</td><td/></tr></table>"
+    root = ET.fromstring(
+        f"<r><table-wrap><caption><title>C</title></caption>{cells}<table-wrap-foot><fn>n<p>m</p></fn></table-wrap-foot></table-wrap>"
+        f"<table-wrap><caption><p>D</p></caption><alternatives><graphic/>{cells}</alternatives></table-wrap><table-wrap><caption>E</caption><graphic/></table-wrap>{'<table-wrap/>' * 20}</r>"
+    )
+    got = grid.boxed_tables(root)
+    assert len(got) == 15 and [t["is_image_only"] for t in got[:4]] == [False, False, True, False]
+    assert got[0]["markdown"] == "**C**\n\n| a | b |\n| --- | --- |\n| 1 |  |\n\nFootnotes: n m; m" and got[0]["row_by_row"] == "Table: C. Row 1: a: 1\n\nFootnotes: n m; m"
+    assert got[1]["markdown"].startswith("**D**\n\n| a") and got[2]["markdown"] == "**E** (Image-based table)" and got[3]["markdown"] == ""
+    assert text_without(ET.fromstring("<s>a <x>no</x> b<y> c<x>no</x></y></s>"), {"x"}) == "a b c"
