@@ -104,19 +104,19 @@ def articles(content: bytes) -> Iterator[dict]:
 
 
 def read(files: DataFrame, column: str = "content") -> DataFrame:
-    """Records of binary files (path, content), one row each, parsed file by file with a stream per file."""
+    """Records of binary files (path, content), one row each, parsed file by file with a stream per file; of many small files the records go on together."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows: list[dict] = []
         for batch in batches:
             for content in batch[column]:
-                rows: list[dict] = []
                 for a in articles(bytes(content)):
                     rows.append(a)
                     if len(rows) == 1000:
                         yield pd.DataFrame(rows)
                         rows = []
-                if rows:
-                    yield pd.DataFrame(rows)
+        if rows:
+            yield pd.DataFrame(rows)
 
     return files.select(column).mapInPandas(run, ARTICLE)
 
