@@ -41,25 +41,27 @@ class _Field:
 
     def __init__(self):
         self.n, self.word_count, self.low, self.high = 0, 0, float("inf"), float("-inf")
-        self.raw: tuple[set[str], set[str], set[str]] = (set(), set(), set())  # values, words, shapes
+        self.raw: tuple[dict[str, int], set[str], set[str]] = ({}, set(), set())  # values with their numbers of words, words, shapes
         self.sketches: list[list[int]] = [[], [], []]
 
     def see(self, value) -> None:
         self.n += 1
         values, words, shapes = self.raw
-        if isinstance(value, bool):
-            values.add(str(value))
+        if isinstance(value, str):
+            count = values.get(value)
+            if count is None:
+                found = WORD.findall(value.lower())
+                count = values[value] = len(found)
+                words.update(found)
+                shapes.add(DIGITS.sub("9", LETTERS.sub("a", value)))
+            self.word_count += count
+        elif isinstance(value, bool):
+            values[str(value)] = 0
         elif isinstance(value, (int, float)):
             self.low, self.high = min(self.low, value), max(self.high, value)
-            values.add(repr(value))
-        elif isinstance(value, str):
-            found = WORD.findall(value.lower())
-            self.word_count += len(found)
-            values.add(value)
-            words.update(found)
-            shapes.add(DIGITS.sub("9", LETTERS.sub("a", value)))
+            values[repr(value)] = 0
         elif isinstance(value, dict):
-            values.update(f"{k}:{v}" for k, v in value.items())
+            values.update((f"{k}:{v}", 0) for k, v in value.items())
             words.update(value)
         if len(values) + len(words) + len(shapes) > 32 * KEEP:
             self.reduce()
@@ -72,8 +74,11 @@ class _Field:
         return self.sketches
 
 
+_KINDS = {bool: "boolean", int: "number", float: "number", str: "string", dict: "object", list: "list"}  # what JSON gives
+
+
 def _kind(value) -> str:
-    return "boolean" if isinstance(value, bool) else "number" if isinstance(value, (int, float)) else "string" if isinstance(value, str) else "object" if isinstance(value, dict) else "list"
+    return _KINDS[type(value)]
 
 
 def _observe(seen: dict, path: tuple, value, nested: bool) -> None:
