@@ -4,7 +4,8 @@ The index has a row for each block of documents, with the documents and position
 windows of `width` words are anchored at their rarest terms; the offset-adjusted lists of a window's two rarest terms
 are intersected block by block, and what survives is checked against the lists of all terms of the text. A block has a
 bounded number of words, so matching is a pass over the index without a shuffle, and no list of a term is ever gathered
-in one place. Test texts are asked in batches of a bounded number of words.
+in one place. The index lies in row groups of a few blocks, so that what a task holds doesn't grow with its share of the
+documents. Test texts are asked in batches of a bounded number of words.
 """
 
 from __future__ import annotations
@@ -21,13 +22,16 @@ from pyspark.sql import functions as F
 
 from litloom.runtime import materialize, words
 
-INDEX = "block string, terms array<string>, counts array<int>, docs array<long>, positions array<int>"
+INDEX = "block string, ids array<long>, terms array<string>, counts array<int>, docs array<int>, positions array<int>"
+#: A row is some megabytes, so pages and row groups are looked at after each: Parquet's own check comes after 100 rows, which both the writer and the reader would hold.
+LAYOUT = {"parquet.block.size": str(8 << 20), "parquet.page.size.row.check.min": "1", "parquet.page.size.row.check.max": "1"}
 ITEM_WORDS = 1_000_000  # words of test texts that tasks hold at once
+LISTED = 2_000_000  # places of anchors in a block that are sorted at once
 Items = list[tuple[int, list[str]]]
 
 
 def _index(most_words: int):
-    schema = pa.schema([("block", pa.string()), ("terms", pa.list_(pa.string())), ("counts", pa.list_(pa.int32())), ("docs", pa.list_(pa.int64())), ("positions", pa.list_(pa.int32()))])
+    schema = pa.schema([("block", pa.string()), ("ids", pa.list_(pa.int64())), ("terms", pa.list_(pa.string())), ("counts", pa.list_(pa.int32())), ("docs", pa.list_(pa.int32())), ("positions", pa.list_(pa.int32()))])
     one = lambda values: pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -43,13 +47,13 @@ def _index(most_words: int):
                 if not sizes.sum():
                     continue
                 starts = np.cumsum(sizes) - sizes
-                doc = np.repeat(batch.column(0).slice(a, b - a).to_numpy(), sizes)
+                doc = np.repeat(np.arange(b - a, dtype=np.int32), sizes)  # by place in the block: a repeated key is another document
                 pos = np.arange(sizes.sum(), dtype=np.int32) - np.repeat(starts, sizes).astype(np.int32)
                 codes = lists.slice(a, b - a).flatten().dictionary_encode()
                 ids = codes.indices.to_numpy()
                 order = np.argsort(ids, kind="stable")
                 counts = np.bincount(ids, minlength=len(codes.dictionary)).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([pa.array([f"{part}-{n}"], pa.string()), one(codes.dictionary), one(pa.array(counts)), one(pa.array(doc[order], pa.int64())), one(pa.array(pos[order], pa.int32()))], schema=schema)
+                yield pa.RecordBatch.from_arrays([pa.array([f"{part}-{n}"], pa.string()), one(pa.array(batch.column(0).slice(a, b - a).to_numpy(), pa.int64())), one(codes.dictionary), one(pa.array(counts)), one(pa.array(doc[order], pa.int32())), one(pa.array(pos[order], pa.int32()))], schema=schema)
                 n += 1
 
     return run
@@ -58,23 +62,23 @@ def _index(most_words: int):
 def build_index(documents: DataFrame, key: str, text: str, block: int = 300_000) -> DataFrame:
     """The positional index of all words of all documents; null texts have none. Each document lies in one block of some `block` words, a longer one in a block of its own."""
     rows = documents.filter(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("id"), words(text).alias("words"))
-    return materialize(rows.mapInArrow(_index(block), INDEX), "index")
+    return materialize(rows.mapInArrow(_index(block), INDEX), "index", options=LAYOUT)
 
 
-def _blocks(batches: Iterator[pa.RecordBatch], codes: dict[str, int]) -> Iterator[tuple[list[int], list[np.ndarray], list[np.ndarray]]]:
-    """Of each block, for the terms asked for: their codes, and the documents and positions of each."""
+def _blocks(batches: Iterator[pa.RecordBatch], codes: dict[str, int]) -> Iterator[tuple[np.ndarray, list[int], list[np.ndarray], list[np.ndarray]]]:
+    """Of each block: the keys of its documents; for the terms asked for, their codes, and the places of the documents (ascending) and positions of each."""
     asked = pa.array(sorted(codes), pa.string())
     code_of = np.array([codes[t] for t in sorted(codes)], np.int64)
     for batch in batches:
         for i in range(batch.num_rows):
-            terms, counts, docs, positions = (batch.column(c)[i].values for c in range(1, 5))
+            ids, terms, counts, docs, positions = (batch.column(c)[i].values for c in range(1, 6))
             found = pc.index_in(terms, value_set=asked)
             own = np.flatnonzero(found.is_valid().to_numpy(zero_copy_only=False))
             ends = np.cumsum(counts.to_numpy())
             docs, positions = docs.to_numpy(), positions.to_numpy().astype(np.int64)
             at = code_of[found.take(pa.array(own)).to_numpy().astype(np.int64)]
             parts = [slice(ends[t] - counts[int(t)].as_py(), ends[t]) for t in own]
-            yield at.tolist(), [docs[p] for p in parts], [positions[p] for p in parts]
+            yield ids.to_numpy(), at.tolist(), [docs[p] for p in parts], [positions[p] for p in parts]
 
 
 def _frequency(index: DataFrame, items: Items) -> dict[str, int]:
@@ -130,52 +134,64 @@ def _matches(texts: list, pairs: list, anchors: dict, codes: dict[str, int], wid
 
     names = {c: t for t, c in codes.items()}
 
-    def one(terms: list[int], docs: list[np.ndarray], positions: list[np.ndarray]) -> pa.RecordBatch:
-        every = np.unique(np.concatenate(docs)) if docs else np.zeros(0, np.int64)
-        local = [np.searchsorted(every, d) for d in docs]
-        # offset-adjusted lists of the anchors: item, document, document position less item position
-        item, doc, delta, place = [], [], [], []
-        for t, d, p in zip(terms, local, positions, strict=True):
+    def shares(terms: list[int], docs: list[np.ndarray], n: int) -> Iterator[list[tuple[int, int, int, int, int]]]:
+        """The anchors that the block has, in shares of some LISTED places: (item, position in it, number of the list, begin and end in the list). Those of an item and a document are in one share."""
+        lists: dict[int, list[tuple[int, int]]] = defaultdict(list)
+        for j, t in enumerate(terms):
             for k, i in anchors.get(names[t], ()):
-                item.append(np.full(len(d), k, np.int32))
-                doc.append(d.astype(np.int32))
-                delta.append((p - i).astype(np.int32))
-                place.append(np.full(len(d), i, np.int32))
-        out: list[tuple] = []
-        if item:
-            item, doc, delta, place = (np.concatenate(x) for x in (item, doc, delta, place))
-            key = (item.astype(np.int64) * (len(every) + 1) + doc) * (1 << 28) + (delta.astype(np.int64) + (1 << 24))
+                lists[k].append((i, j))
+        share, held = [], 0
+        for k, own in lists.items():
+            many = sum(len(docs[j]) for _, j in own)
+            edges = np.unique(np.linspace(0, n, many // LISTED + 2).astype(np.int64)).tolist()
+            for low, high in zip(edges[:-1], edges[1:], strict=True):
+                cuts = [(k, i, j, *np.searchsorted(docs[j], [low, high]).tolist()) for i, j in own]
+                size = sum(y - x for *_, x, y in cuts)
+                if share and held + size > LISTED:
+                    yield share
+                    share, held = [], 0
+                share += cuts
+                held += size
+        if share:
+            yield share
+
+    def one(ids: np.ndarray, terms: list[int], docs: list[np.ndarray], positions: list[np.ndarray]) -> pa.RecordBatch:
+        alive: list[tuple[int, int, int]] = []
+        for share in shares(terms, docs, len(ids)):
+            # offset-adjusted lists of the anchors: item, document, document position less item position
+            key = np.concatenate([(k * (len(ids) + 1) + docs[j][x:y].astype(np.int64)) * (1 << 28) + (positions[j][x:y] - i + (1 << 24)) for k, i, j, x, y in share])
+            place = np.repeat(np.array([i for _, i, *_ in share], np.int32), [y - x for *_, x, y in share])
             order = np.argsort(key, kind="stable")
             key, place = key[order], place[order]
             edge = np.flatnonzero(np.r_[True, key[1:] != key[:-1], True])
-            alive = []
             for a, b in zip(edge[:-1][np.diff(edge) > 1], edge[1:][np.diff(edge) > 1], strict=True):
                 met = sorted(set(place[a:b].tolist()))
-                k = int(key[a] >> 28) // (len(every) + 1)
+                k = int(key[a] >> 28) // (len(ids) + 1)
                 if any((x, y) in pairs[k] for i, x in enumerate(met) for y in met[i + 1 :]):
-                    alive.append((k, int(key[a] >> 28) % (len(every) + 1), int(key[a] & ((1 << 28) - 1)) - (1 << 24)))
-            if alive:
-                # the words of the documents that are left, as far as the items have them
-                wanted = np.zeros(len(every), bool)
-                wanted[[d for _, d, _ in alive]] = True
-                forward: dict[int, list] = defaultdict(list)
-                for t, d, p in zip(terms, local, positions, strict=True):
-                    keep = wanted[d]
-                    for x, y in zip(d[keep].tolist(), p[keep].tolist(), strict=True):
-                        forward[x].append((y, t))
-                arrays = {}
-                for x, own in forward.items():
-                    arrays[x] = np.full(max(y for y, _ in own) + 1, -2, np.int32)
-                    for y, c in own:
-                        arrays[x][y] = c
-                for k, d, shift in alive:
-                    text, there = texts[k][1], arrays[d]
-                    low, high = max(0, -shift), min(len(text), len(there) - shift)
-                    same = np.r_[False, text[low:high] == there[low + shift : high + shift], False]
-                    change = np.flatnonzero(same[1:] != same[:-1])
-                    for a, b in zip(change[::2], change[1::2], strict=True):
-                        if b - a >= width:
-                            out.append((int(every[d]), texts[k][0], low + int(a), low + int(a) + shift, int(b - a)))
+                    alive.append((k, int(key[a] >> 28) % (len(ids) + 1), int(key[a] & ((1 << 28) - 1)) - (1 << 24)))
+        out: list[tuple] = []
+        if alive:
+            # the words of the documents that are left, as far as the items have them
+            wanted = np.zeros(len(ids), bool)
+            wanted[[d for _, d, _ in alive]] = True
+            forward: dict[int, list] = defaultdict(list)
+            for t, d, p in zip(terms, docs, positions, strict=True):
+                keep = wanted[d]
+                for x, y in zip(d[keep].tolist(), p[keep].tolist(), strict=True):
+                    forward[x].append((y, t))
+            arrays = {}
+            for x, own in forward.items():
+                arrays[x] = np.full(max(y for y, _ in own) + 1, -2, np.int32)
+                for y, c in own:
+                    arrays[x][y] = c
+            for k, d, shift in alive:
+                text, there = texts[k][1], arrays[d]
+                low, high = max(0, -shift), min(len(text), len(there) - shift)
+                same = np.r_[False, text[low:high] == there[low + shift : high + shift], False]
+                change = np.flatnonzero(same[1:] != same[:-1])
+                for a, b in zip(change[::2], change[1::2], strict=True):
+                    if b - a >= width:
+                        out.append((int(ids[d]), texts[k][0], low + int(a), low + int(a) + shift, int(b - a)))
         return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True) if out else [[]] * 5, schema, strict=True)], schema=schema)
 
     return lambda batches: (one(*block) for block in _blocks(batches, codes))
@@ -222,7 +238,7 @@ def _near(keys: list[int], queries: tuple[np.ndarray, np.ndarray, np.ndarray], c
     schema = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("found", pa.int64())])
     owner, wanted, need = queries
 
-    def one(terms: list[int], lists: list[np.ndarray], positions: list[np.ndarray]) -> pa.RecordBatch:
+    def one(ids: np.ndarray, terms: list[int], lists: list[np.ndarray], positions: list[np.ndarray]) -> pa.RecordBatch:
         best: dict[tuple[int, int], int] = {}
         if terms and len(owner):
             doc, pos = np.concatenate(lists), np.concatenate(positions)
@@ -268,7 +284,7 @@ def _near(keys: list[int], queries: tuple[np.ndarray, np.ndarray, np.ndarray], c
                             met += there[place[wanted[some, j]]]
                         most = met.max(axis=1)
                         for i in np.flatnonzero(most >= need[some]).tolist():
-                            pair = int(doc[a]), keys[owner[some[i]]]
+                            pair = int(ids[doc[a]]), keys[owner[some[i]]]
                             best[pair] = max(best.get(pair, 0), int(most[i]))
         out = [(*k, n) for k, n in best.items()]
         return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True) if out else [[]] * 3, schema, strict=True)], schema=schema)

@@ -48,14 +48,14 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_dir
 
 
-def materialize(df: DataFrame, name: str, by: list[str] | None = None) -> DataFrame:
+def materialize(df: DataFrame, name: str, by: list[str] | None = None, options: dict[str, str] | None = None) -> DataFrame:
     """Write df once as a Parquet table in the shared folder and read it back: lineage is cut, and the copy outlives executors.
 
-    With `by` the table is laid out in one folder per value, so that later filters on these columns prune files.
+    With `by` the table is laid out in one folder per value, so that later filters on these columns prune files. `options` go to the Parquet writer.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/litloom/{name}-{uuid.uuid4().hex}"
-    writer = df.write
+    writer = df.write.options(**(options or {}))
     if by:
         writer = writer.partitionBy(*by)
     writer.parquet(path)

@@ -1,12 +1,15 @@
 import collections
+import glob
 import itertools
 import random
 import re
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from litloom.llm import leakage, mixing, neardup, queries, residue, seen, split, terms, truncation
 
@@ -264,6 +267,28 @@ def test_phrases_equal_brute_force(spark, monkeypatch):
     assert leakage.proximity(index, leakage.items_of(items_df, "i", "t"), terms=4, share=1.0, span=30).count() > 0
 
 
+def test_index_is_written_and_read_a_few_blocks_at_a_time(spark):
+    rows = spark.range(0, 3200, 1, 1).select("id", F.array_join(F.transform(F.sequence(F.lit(1), F.lit(2000)), lambda i: F.concat(F.lit("w"), F.pmod(F.xxhash64("id", i), F.lit(9000)))), " ").alias("text"))
+    index = leakage.build_index(rows, "id", "text", block=100_000)
+    files = [pq.ParquetFile(f).metadata for f in glob.glob(f"{index.written_at}/*.parquet")]
+    groups = [m.row_group(g) for m in files for g in range(m.num_row_groups)]
+    assert sum(g.num_rows for g in groups) == index.count() >= 64
+    assert max(g.total_byte_size for g in groups) < 14 << 20 and len(groups) > 1
+
+
+def test_phrases_of_documents_with_one_key_and_of_one_word(spark, monkeypatch):
+    item = [f"t{i}" for i in range(20)]
+    docs = [(1, " ".join(item[:15])), (1, " ".join(["x"] * 15)), (2, " ".join(["a"] * 50)), (1, " ".join(["y", *item[5:]]))]
+    items = [(7, item), (8, ["a"] * 14)]
+    index = leakage.build_index(spark.createDataFrame(docs, "d long, text string").coalesce(1), "d", "text")
+    assert index.count() == 1
+    found = sorted(tuple(r) for r in leakage.phrase_matches(index, items).collect())
+    assert [r for r in found if r[1] == 7] == [(1, 7, 0, 0, 15), (1, 7, 5, 1, 15)]
+    assert {r[:2] for r in found} == {(1, 7), (2, 8)}
+    monkeypatch.setattr(leakage, "LISTED", 7)
+    assert sorted(tuple(r) for r in leakage.phrase_matches(index, items).collect()) == found
+
+
 def test_proximity_has_every_phrase_match_and_equals_brute_force(spark):
     rng = random.Random(88)
     w = lambda n: [rng.choice("abcdefgh") + str(rng.randrange(30)) for _ in range(n)]
