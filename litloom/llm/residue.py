@@ -1,26 +1,28 @@
 """Template residue, filler and error pages: character n-gram models and likelihood-ratio windows.
 
 Four models of characters are fitted: unfilled placeholders, filler, error and access notices, and natural prose; the
-first three on wordings put together by rules (seeds.py), the last on a bounded sample of the documents. What the models
-find in the sample with certainty joins the models of residue, what they doubt is left out of prose, and all are fitted
-again. The log-likelihood ratio of each character against prose, less a fixed cost a character, is summed along a text;
+first three on wordings put together by rules (seeds.py), the last on all documents. What the models find in the documents
+with certainty joins the models of residue, what they doubt is left out of prose, and all are fitted again. Tasks count the
+n-grams of all texts once, in tables of a fixed size; each further fit is a pass that counts only what has to leave prose
+or join residue. The log-likelihood ratio of each character against prose, less a fixed cost a character, is summed along a text;
 every stretch whose sum is highest above where it began is a window, whatever its length, and is residue if its sum
 exceeds a threshold. Documents are excluded by the share of the text that windows cover.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from litloom.llm import seeds
-from litloom.runtime import bounded_sample, spread
+from litloom.runtime import spread
 
-BITS = 19
+BITS = 21
 KINDS = ("placeholder", "filler", "notice")
 #: What a character costs a window, by kind: without it every text would end up one window.
 COST = np.array([0.3, 0.3, 0.3])
@@ -44,100 +46,124 @@ def encoded(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return b[at], at
 
 
-def _grams(b: np.ndarray) -> dict[int, np.ndarray]:
-    """Slots of the last 5, 4, 3 and 2 bytes at each byte; 3 and 2 share the table of 3."""
+def _mix(v: np.ndarray, k: int) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return (v * np.uint32(k)) >> np.uint32(32 - BITS)
+
+
+def _five(four: np.ndarray, first: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return _mix((four * np.uint32(0x85EBCA6B)) ^ (four >> np.uint32(15)) ^ (first * np.uint32(0x9E3779B1)), 0xC2B2AE35)
+
+
+def _fours(b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The last four bytes at each byte as one number, and the byte before them."""
     x = np.r_[np.zeros(4, np.uint8), b].astype(np.uint32)
     n = len(b)
-    two = x[4:] | (x[3 : 3 + n] << 8)
-    three = two | (x[2 : 2 + n] << 16)
-    four = three | (x[1 : 1 + n] << 24)
-    mix = lambda v, k: (v * np.uint32(k)) >> np.uint32(32 - BITS)
+    return x[4:] | (x[3 : 3 + n] << 8) | (x[2 : 2 + n] << 16) | (x[1 : 1 + n] << 24), x[:n]
+
+
+def _codes(b: np.ndarray, where: np.ndarray) -> np.ndarray:
+    """The last five bytes at the bytes marked in `where` as one number. The stream begins with breaks, which aren't marked."""
+    at = np.flatnonzero(where)
+    return sum((b[at - i].astype(np.int64) << (8 * i) for i in range(1, 5)), b[at].astype(np.int64))
+
+
+SIZES = (5, 4, 3, 2)
+
+
+def _slots(code: np.ndarray) -> dict[int, np.ndarray]:
+    """Slots of the last 5 and 3 bytes, and of the 4 and 2 that come before the last."""
+    low = lambda v, bits: (v & ((1 << bits) - 1)).astype(np.uint32)
+    four = low(code >> 8, 32)
     with np.errstate(over="ignore"):
-        five = mix((four * np.uint32(0x85EBCA6B)) ^ (four >> np.uint32(15)) ^ (x[:n] * np.uint32(0x9E3779B1)), 0xC2B2AE35)
-        return {5: five, 4: mix((four ^ (four >> np.uint32(13))) * np.uint32(0x27D4EB2F), 0x9E3779B1), 3: mix(three, 0x9E3779B1), 2: mix(two | np.uint32(1 << 30), 0x85EBCA6B)}
+        context = _mix((four ^ (four >> np.uint32(13))) * np.uint32(0x27D4EB2F), 0x9E3779B1)
+    return {5: _five(low(code, 32), low(code >> 32, 8)), 4: context, 3: _mix(low(code, 24), 0x9E3779B1), 2: _mix(low(code >> 8, 16) | np.uint32(1 << 30), 0x85EBCA6B)}
 
 
 class CharModel:
     """Hashed counts of n-grams and their contexts."""
 
-    def __init__(self):
-        self.counts = {n: np.zeros(1 << BITS, np.float32) for n in (5, 4, 3, 2)}
+    def __init__(self, counts: dict[int, np.ndarray] | None = None):
+        self.counts = {n: counts[n].astype(np.float32) if counts else np.zeros(1 << BITS, np.float32) for n in SIZES}
 
-    def add(self, grams: dict[int, np.ndarray], where: np.ndarray, weight: float = 1.0) -> None:
-        """Count the characters marked in `where`, each with the context before it."""
-        at = np.flatnonzero(where)
-        at = at[at > 0]
-        for n in (5, 3):
-            self.counts[n] += weight * np.bincount(grams[n][at], minlength=1 << BITS)
-            self.counts[n - 1] += weight * np.bincount(grams[n - 1][at - 1], minlength=1 << BITS)
+    def add(self, code: np.ndarray, n: np.ndarray | float = 1.0) -> None:
+        """Count the last character of each 5-gram `n` times, each with the context before it; what is taken away again leaves no less than nothing."""
+        for size, slot in _slots(code).items():
+            np.add.at(self.counts[size], slot, np.float32(n) if np.isscalar(n) else n.astype(np.float32))
+            np.maximum(self.counts[size], 0, out=self.counts[size])
 
-    def score(self, grams: dict[int, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        """Log-likelihood of each character after the four before it, backed off to two, and after two alone."""
-        c = self.counts
-        before = lambda n: c[n][np.r_[0, grams[n][:-1]]]
-        short = (c[3][grams[3]] + 4 / 96) / (before(2) + 4)
-        return np.log((c[5][grams[5]] + 3 * short) / (before(4) + 3)), np.log(short)
+    def score(self, slots: dict[int, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """Log-likelihood of the last character after the four before it, backed off to two, and after two alone."""
+        c = {n: self.counts[n][slots[n]] for n in SIZES}
+        short = (c[3] + 4 / 96) / (c[2] + 4)
+        return np.log((c[5] + 3 * short) / (c[4] + 3)), np.log(short)
 
 
 class Ratios:
     """The log-likelihood ratios of the kinds against prose as two tables: for each 5-gram the models were fitted on, and for each 3-gram."""
 
-    def __init__(self, models: list[CharModel], prose: CharModel, fitted_on: list[dict[int, np.ndarray]]):
+    def __init__(self, models: list[CharModel], prose: CharModel, fitted_on: list[np.ndarray]):
         self.five = np.full((1 << BITS, len(models)), np.nan, np.float32)
         self.three = np.zeros((1 << BITS, len(models)), np.float32)
-        for g in fitted_on:
-            long, short = prose.score(g)
-            for k, m in enumerate(models):
-                own, alone = m.score(g)
-                self.five[g[5], k] = own - long
-                self.three[g[3], k] = alone - short
+        for code in fitted_on:
+            for i in range(0, len(code), 1 << 18):
+                slots = _slots(code[i : i + (1 << 18)])
+                long, short = prose.score(slots)
+                for k, m in enumerate(models):
+                    own, alone = m.score(slots)
+                    self.five[slots[5], k] = own - long
+                    self.three[slots[3], k] = alone - short
 
     def __getstate__(self) -> dict:
-        return {"five": self.five.astype(np.float16), "three": self.three.astype(np.float16)}
+        # every pass sends them to all tasks: only the slots that are in use
+        five, three = np.flatnonzero(~np.isnan(self.five[:, 0])), np.flatnonzero(self.three.any(1))
+        return {"slots": (five.astype(np.int32), three.astype(np.int32)), "five": self.five[five].astype(np.float16), "three": self.three[three].astype(np.float16)}
 
     def __setstate__(self, state: dict) -> None:
-        self.five, self.three = state["five"].astype(np.float32), state["three"].astype(np.float32)
+        kinds = state["five"].shape[1]
+        self.five, self.three = np.full((1 << BITS, kinds), np.nan, np.float32), np.zeros((1 << BITS, kinds), np.float32)
+        self.five[state["slots"][0]], self.three[state["slots"][1]] = state["five"], state["three"]
 
     def __call__(self, b: np.ndarray) -> np.ndarray:
-        g = _grams(b)
-        out = self.five[g[5]]
+        four, first = _fours(b)
+        out = self.five[_five(four, first)]
         unseen = np.flatnonzero(np.isnan(out[:, 0]))
-        out[unseen] = self.three[g[3][unseen]]
+        out[unseen] = self.three[_mix(four[unseen] & np.uint32(0xFFFFFF), 0x9E3779B1)]
         return out
 
 
 def windows(b: np.ndarray, ratios: Ratios) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """For each kind (start, end, sum) of every stretch of positive sum up to its peak, none across a break."""
-    value = ratios(b).astype(np.float64) - COST
+    value = ratios(b) - COST.astype(np.float32)
     value[b == BREAK] = -1e5
     out = []
-    for k in range(value.shape[1]):
-        s = np.cumsum(value[:, k])
-        low = np.minimum.accumulate(s)
-        height = s - low
-        up = height > 0
-        begin = np.flatnonzero(up & ~np.r_[False, up[:-1]])
-        if not len(begin):
-            out.append((begin, begin, np.zeros(0)))
+    for v in value.T:
+        # stretches of positive values and those between them take turns; a stream begins with a break
+        plus = v > 0
+        edge = np.flatnonzero(plus[1:] != plus[:-1]) + 1
+        if not len(edge):
+            out.append((edge, edge, np.zeros(0)))
             continue
-        peak = np.maximum.reduceat(np.where(up, height, 0.0), begin)
-        run = np.repeat(peak, np.diff(np.r_[begin, len(b)]))
-        top = np.flatnonzero(up & (height == np.r_[np.zeros(begin[0]), run]))
-        first = top[np.unique(np.searchsorted(begin, top, side="right") - 1, return_index=True)[1]]
-        out.append((begin, first + 1, peak))
+        s = np.cumsum(np.add.reduceat(v, np.r_[0, edge], dtype=np.float64))
+        height = s - np.minimum.accumulate(s)
+        begin, end, up = edge[::2], np.r_[edge[1::2], len(b)][: -(-len(edge) // 2)], height[1::2]
+        group = np.flatnonzero(np.r_[True, height[2::2][: len(up) - 1] <= 0])
+        peak = np.maximum.reduceat(up, group)
+        top = np.flatnonzero(up == np.repeat(peak, np.diff(np.r_[group, len(up)])))
+        first = top[np.unique(np.searchsorted(group, top, side="right") - 1, return_index=True)[1]]
+        out.append((begin[group], end[first], peak))
     return out
 
 
 def _covered(n: int, found: list[tuple[np.ndarray, np.ndarray, np.ndarray]], least: np.ndarray, margin: int = 0) -> np.ndarray:
     """(n, kinds): which bytes lie in windows of at least this sum, or within `margin` of them."""
-    out = np.zeros((n, len(found)), bool)
-    for k, (begin, end, peak) in enumerate(found):
-        keep = peak >= least[k]
-        edge = np.zeros(n + 1, np.int64)
-        np.add.at(edge, np.maximum(begin[keep] - margin, 0), 1)
-        np.add.at(edge, np.minimum(end[keep] + margin, n), -1)
-        out[:, k] = np.cumsum(edge[:-1]) > 0
-    return out
+    out = np.zeros((len(found), n), bool)
+    for own, (begin, end, peak), low in zip(out, found, least, strict=True):
+        keep = peak >= low
+        for x, y in zip(np.maximum(begin[keep] - margin, 0).tolist(), (end[keep] + margin).tolist(), strict=True):
+            own[x:y] = True
+    return out.T
 
 
 def _seeded(seed: int, part: int, parts: int = 5) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray, list[list[str]]]:
@@ -164,60 +190,146 @@ def _seeded(seed: int, part: int, parts: int = 5) -> tuple[list[np.ndarray], lis
     return streams, marks, encoded(seeds.prose(rng))[0], unseen
 
 
-def _plain(chunks: list[np.ndarray], grams: list[dict[int, np.ndarray]], rare: float) -> list[np.ndarray]:
-    """The bytes that the first fit of prose counts: of 5-grams rarer than `rare` none with signs, and none of a word that can be a placeholder by itself."""
-    bare = np.zeros(1 << BITS, bool)
+def _bare() -> np.ndarray:
+    """The slots of words that can be a placeholder by themselves."""
+    out = np.zeros(1 << BITS, bool)
     for t in seeds.PHRASES.split():
         if t.isalpha() and (t.isupper() or t in seeds.BARE):
             own = encoded([f" {t} "])[0]
-            bare[_grams(own)[5][GAP + 4 :]] = True
-    seldom = sum(np.bincount(g[5], minlength=1 << BITS) for g in grams) < rare
-    out = []
-    for b, g in zip(chunks, grams, strict=True):
+            out[_five(*_fours(own))[GAP + 4 :]] = True
+    return out
+
+
+class Tally:
+    """The n-grams of all texts: how often they occur, how often 5-grams have signs or belong to bare words, and for each slot the 5-gram that stands for it."""
+
+    NAMES = (*map(str, SIZES), "near", "code")
+
+    def __init__(self, of: dict[str, np.ndarray] | None = None):
+        self.of = of or {n: np.zeros(1 << BITS, np.int64) for n in self.NAMES}
+
+    def add(self, b: np.ndarray, bare: np.ndarray) -> None:
+        plain = b != BREAK
         near = _SIGN[b]
         for _ in range(4):
             near = near | np.r_[False, near[:-1]]
-        out.append((b != BREAK) & ~((near | bare[g[5]]) & seldom[g[5]]))
-    return out
+        code = _codes(b, plain)
+        slots = _slots(code)
+        for n in SIZES:
+            np.add.at(self.of[str(n)], slots[n], 1)
+        np.add.at(self.of["near"], slots[5][near[plain] | bare[slots[5]]], 1)
+        np.maximum.at(self.of["code"], slots[5], code)
+
 
+Marked = tuple[np.ndarray, np.ndarray, np.ndarray]  # kind (-1: not prose), 5-gram, how often
 
-def fit_on(texts: list[str], rounds: int = 5, part: int = -1, seed: int = 10, sure: tuple = (40.0, 80.0, 80.0), doubt: tuple = (6.0, 8.0, 8.0), gentle: tuple = (20.0, 25.0, 25.0), seldom: float = 0.001) -> tuple[Ratios, list[list[str]]]:
-    """The ratios after `rounds` fits, and the wordings that were left out.
+
+def _marked(b: np.ndarray, ratios: Ratios, least: np.ndarray, sure: np.ndarray) -> Marked:
+    """The 5-grams of bytes in or near windows of at least `least`, which leave prose, and of those in windows of at least `sure`, which join their kinds."""
+    found = windows(b, ratios)
+    gone, certain = (b != BREAK) & _covered(len(b), found, least, 12).any(1), _covered(len(b), found, sure)
+    own = [(k, *np.unique(_codes(b, where), return_counts=True)) for k, where in [(-1, gone), *enumerate(certain.T)]]
+    return np.concatenate([np.full(len(c), k, np.int32) for k, c, _ in own]), np.concatenate([c for _, c, _ in own]), np.concatenate([n for *_, n in own])
+
+
+def _fitted(tally: Tally, texts: int, again: Callable[[Ratios, np.ndarray, np.ndarray], Marked], rounds: int = 5, part: int = -1, seed: int = 10, sure: tuple = (40.0, 80.0, 80.0), doubt: tuple = (6.0, 8.0, 8.0), gentle: tuple = (20.0, 25.0, 25.0), seldom: float = 0.001, balance: int = 2000) -> tuple[Ratios, list[list[str]]]:
+    """The ratios after `rounds` fits, and the wordings that were left out. again: what _marked() gives for all texts.
 
     The first fit of prose leaves out 5-grams with signs that fewer than `seldom` of the texts have. After each fit, stretches
-    of the sample with a sum of at least `sure` are counted as residue of their kind, and bytes in or near stretches of at
-    least `doubt`, which rises to `gentle` with the rounds, are left out of prose. part: the fifth of the templates that is
+    of the texts with a sum of at least `sure` are counted as residue of their kind, and bytes in or near stretches of at
+    least `doubt`, which rises to `gentle` with the rounds, are left out of prose. balance: all texts are counted, but weigh as
+    so many where they are more, since the wordings by rules, which don't grow with the texts, would be outweighed. part: the fifth of the templates that is
     left out, to measure how well unseen wordings are found.
     """
     streams, marks, known, unseen = _seeded(seed, part)
-    chunks = [encoded(texts[i : i + 500])[0] for i in range(0, len(texts), 500)] or [encoded([""])[0]]
-    grams, own_grams, known_grams = [_grams(b) for b in streams], [_grams(b) for b in chunks], _grams(known)
-    natural = _plain(chunks, own_grams, max(1.5, seldom * len(texts)))
-    certain: list[np.ndarray | None] = [None] * len(chunks)
-    ratios = None
+    own, natural = [_codes(b, m & (b != BREAK)) for b, m in zip(streams, marks, strict=True)], _codes(known, known != BREAK)
+    every = [np.unique(_codes(b, b != BREAK)) for b in (*streams, known)] + [tally.of["code"][tally.of["code"] > 0]]
+    rare = np.flatnonzero((tally.of["5"] < max(1.5, seldom * texts)) & (tally.of["near"] > 0))
+    kind, code, n = np.full(len(rare), -1), tally.of["code"][rare], tally.of["near"][rare]
+    ratios, weight = None, min(1.0, balance / max(1, texts))
     for step in np.linspace(0, 1, rounds):
-        models, prose = [CharModel() for _ in KINDS], CharModel()
+        if ratios is not None:
+            kind, code, n = again(ratios, (1 - before) * np.array(doubt) + before * np.array(gentle), np.array(sure))  # noqa: F821
+        models, prose = [CharModel() for _ in KINDS], CharModel({k: np.float32(weight) * tally.of[str(k)] for k in SIZES})
+        prose.add(code[kind < 0], -weight * n[kind < 0])
+        prose.add(natural)
         for k, m in enumerate(models):
-            m.add(grams[k], marks[k])
-            for g, found in zip(own_grams, certain, strict=True):
-                if found is not None and found[:, k].any():
-                    m.add(g, found[:, k], 2.0)
-        prose.add(known_grams, known != BREAK)
-        for g, where in zip(own_grams, natural, strict=True):
-            prose.add(g, where)
-        ratios = Ratios(models, prose, [*grams, known_grams, *own_grams])
-        least = (1 - step) * np.array(doubt) + step * np.array(gentle)
-        for i, b in enumerate(chunks):
-            found = windows(b, ratios)
-            natural[i] = (b != BREAK) & ~_covered(len(b), found, least, 12).any(1)
-            certain[i] = _covered(len(b), found, np.array(sure))
+            m.add(own[k])
+            m.add(code[kind == k], 2.0 * weight * n[kind == k])
+        ratios, before = Ratios(models, prose, every), step
+        del models, prose, m  # before the next ones are made
     return ratios, unseen
 
 
-def fit(documents: DataFrame, key: str, text: str, sample: int = 6000) -> Ratios:
-    """The ratios of residue against prose. sample: how many documents, drawn by hash, the prose model is fitted on."""
-    drawn = bounded_sample(documents.filter(F.col(text).isNotNull()).select(F.xxhash64(key, text).alias("h"), F.col(text).alias("text")), "h", sample)
-    return fit_on([r.text for r in drawn.collect()])[0]
+def fit_on(texts: list[str], **how) -> tuple[Ratios, list[list[str]]]:
+    """The ratios of residue against prose fitted on these texts, and the wordings that were left out; `how` as in _fitted()."""
+    chunks = [encoded(texts[i : i + 500])[0] for i in range(0, len(texts), 500)]
+    tally, bare = Tally(), _bare()
+    for b in chunks:
+        tally.add(b, bare)
+    none = np.zeros(0, np.int64)
+    joined = lambda found: tuple(np.concatenate(x) for x in zip((none, none, none), *found, strict=True))
+    return _fitted(tally, len(texts), lambda *how: joined([_marked(b, *how) for b in chunks]), **how)
+
+
+def _streams(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray]]:
+    """Texts of some CHUNK bytes as one stream, and how many they are."""
+    for batch in batches:
+        texts = batch.column(0).to_pylist()
+        part = np.cumsum([len(t) for t in texts]) // CHUNK
+        edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(texts)]
+        for a, b in zip(edges[:-1], edges[1:], strict=True):
+            if b > a:
+                yield b - a, encoded(texts[a:b])[0]
+
+
+PIECE = 1 << 14  # slots of a table in a row
+
+
+def _tallied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    tally, bare, texts = Tally(), _bare(), 0
+    for n, b in _streams(batches):
+        tally.add(b, bare)
+        texts += n
+    if texts:
+        rows = [("texts", 0, np.array([texts], np.int64).tobytes())] + [(name, i, t[i * PIECE : (i + 1) * PIECE].tobytes()) for name, t in tally.of.items() for i in range(len(t) // PIECE)]
+        for i in range(0, len(rows), 64):
+            yield pa.RecordBatch.from_pylist([dict(zip(("name", "piece", "n"), r, strict=True)) for r in rows[i : i + 64]], schema=pa.schema([("name", pa.string()), ("piece", pa.int32()), ("n", pa.binary())]))
+
+
+def _summed(own: pd.DataFrame) -> pd.DataFrame:
+    """One row of the rows that tasks have for a piece of a table: their sum, of the 5-grams that stand for slots the largest."""
+    out = None
+    with_max = own["name"].iloc[0] == "code"
+    for x in own["n"]:
+        x = np.frombuffer(x, np.int64)
+        out = x if out is None else np.maximum(out, x) if with_max else out + x
+    return pd.DataFrame({"name": own["name"].iloc[:1], "piece": own["piece"].iloc[:1], "n": [out.tobytes()]})
+
+
+def fit(documents: DataFrame, text: str) -> Ratios:
+    """The ratios of residue against prose, fitted on all documents. As many tasks as there are cores count, so that the tables they send are few."""
+    rows = spread(documents.filter(F.col(text).isNotNull()).select(F.col(text).cast("string").alias("text")))
+    few = rows.coalesce(rows.sparkSession.sparkContext.defaultParallelism)
+    tally, texts = Tally({n: np.zeros(1 << BITS, np.int64 if n == "code" else np.float32) for n in Tally.NAMES}), 0
+    for r in few.mapInArrow(_tallied, "name string, piece int, n binary").groupBy("name", "piece").applyInPandas(_summed, "name string, piece int, n binary").toLocalIterator():
+        n = np.frombuffer(bytes(r.n), np.int64)
+        if r.name == "texts":
+            texts = int(n[0])
+        else:
+            tally.of[r.name][r.piece * PIECE : (r.piece + 1) * PIECE] = n
+
+    def again(*how) -> Marked:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for _, b in _streams(batches):
+                kind, code, n = _marked(b, *how)
+                yield pa.RecordBatch.from_arrays([pa.array(kind, pa.int32()), pa.array(code, pa.int64()), pa.array(n, pa.int64())], names=["kind", "code", "n"])
+
+        # as many rows as residue has different 5-grams
+        found = rows.mapInArrow(run, "kind int, code long, n long").groupBy("kind", "code").agg(F.sum("n").alias("n")).toArrow()
+        return tuple(found[c].to_numpy() for c in ("kind", "code", "n"))
+
+    return _fitted(tally, texts, again)[0]
 
 
 THRESHOLD = (23.0, 42.0, 42.0)
@@ -267,7 +379,7 @@ def residue(documents: DataFrame, key: str, text: str, threshold: tuple = THRESH
     threshold: the least log-likelihood ratio of a placeholder, of filler and of a notice. Null and empty texts have none;
     repeated documents are told each on its own; texts are read whole, and what is found in one doesn't depend on others.
     """
-    ratios = ratios or fit(documents, key, text)
+    ratios = ratios or fit(documents, text)
     rows = documents.filter(F.col(key).isNotNull() & F.col(text).isNotNull()).select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
     return spread(rows).mapInPandas(_localise(ratios, tuple(threshold)), FOUND)
 

@@ -416,6 +416,22 @@ def test_residue_finds_wordings_that_were_left_out():
     assert notices >= 0.8 and filler >= 0.6 and slots >= 0.4
 
 
+def test_residue_is_fitted_on_all_documents(spark, monkeypatch):
+    counted = []
+    fitted = residue._fitted
+    monkeypatch.setattr(residue, "_fitted", lambda tally, texts, again: (counted.append((texts, tally)), fitted(tally, texts, again, rounds=2))[1])
+    df = spark.range(0, 15000, 1, 5).select("id", F.concat(F.lit("Patient "), F.translate(F.col("id").cast("string"), "0123456789", "abcdefghij"), F.lit(" was well. Give {{ name }} twice.")).alias("text"))
+    residue.fit(df.unionByName(df.limit(1).select("id", F.lit(None).cast("string").alias("text"))), "text")
+    texts, tally = counted[0]
+    local = residue.Tally()
+    local.add(residue.encoded([r.text for r in df.collect()])[0], residue._bare())
+    assert texts == 15000 and all(np.array_equal(tally.of[n], local.of[n]) for n in residue.Tally.NAMES)
+    monkeypatch.undo()
+    rows = [r.text for r in df.limit(300).collect()]
+    one, two = residue.fit(spark.createDataFrame([(t,) for t in rows], "text string"), "text"), residue.fit_on(rows)[0]
+    assert np.array_equal(one.five, two.five, equal_nan=True) and np.array_equal(one.three, two.three)
+
+
 def test_residue(spark):
     rng = random.Random(2)
     prose = lambda n: " ".join(f"The {rng.choice(['median', 'mild', 'severe'])} response of {rng.randrange(500)} patients was {rng.choice(['stable', 'lower', 'reduced'])} after treatment." for _ in range(n))
